@@ -1,207 +1,216 @@
 """Exact order statistics without sorting the table or filling one task.
 
-``percentile`` keeps every distinct value of a column in one reducer.  Here the
-wanted ranks are bracketed instead: a bounded sketch proposes two values around
-each rank, one counting pass proves on which side of them the rank lies, and the
-open interval that remains shrinks by a factor of about ``accuracy / 6`` per
-round.  Only when at most ``candidate_limit`` rows are left between the bounds
-are they ranked with a window.  Every pass is a map-side-combined aggregate over
-the wanted columns; the driver sees a few numbers per rank.
+``percentile`` keeps every distinct value of a column in one reducer.  Here each
+wanted rank is searched by histogram instead.  One pass counts the rows of the
+interval that holds the rank in ``BUCKETS`` equal-width buckets and keeps each
+bucket's least and greatest value; the bucket with the rank becomes the next
+interval.  When an interval has one value, or at most ``candidate_limit`` rows,
+the search ends.  All ranks of all columns share the passes.  Counting combines
+map-side and its result is spread over the reducers; the driver sees one small
+histogram per interval.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions.missing import present
 
-CANDIDATE_LIMIT = 100_000
+CANDIDATE_LIMIT = 1_000_000
+BUCKETS = 1024
 SKETCH_ACCURACY = 10_000
 
+_LARGEST = 1.7976931348623157e308
+
 
 @dataclass
 class _Search:
-    """One wanted rank and the open interval known to hold it."""
+    """One wanted rank and the closed interval known to hold it."""
 
     column: str
     rank: int
+    low: object
+    high: object
     inside: int
     below: int = 0
-    low: object = None
-    high: object = None
-    value: object = None
-    done: bool = False
 
     @property
     def interval(self) -> tuple:
         return (self.column, self.low, self.high)
 
-    def predicate(self) -> Column:
-        c = F.col(self.column)
-        test = c.isNotNull()
-        if self.low is not None:
-            test = test & (c > F.lit(self.low))
-        if self.high is not None:
-            test = test & (c < F.lit(self.high))
-        return test
-
-    def fractions(self, accuracy: int) -> list[float]:
-        share = (self.rank - self.below) / self.inside
-        margin = 2.0 / accuracy
-        return [max(0.0, share - margin), min(1.0, share + margin)]
-
-    def settle(self, low, high, less: Callable, equal: Callable) -> None:
-        """Use exact counts at ``low`` and ``high`` to keep the side with the rank."""
-        for bound in (low, high):
-            if self.rank < less(bound):
-                self.high = bound
-                self.inside = less(bound) - self.below
-                return
-            after = less(bound) + equal(bound)
-            if self.rank < after:
-                self.value, self.done = bound, True
+    @property
+    def found(self) -> bool:
+        return self.low == self.high
+
+    def zoom(self, histogram: Sequence[Row]) -> None:
+        """Keep the bucket that holds the rank; ``histogram`` is in bucket order."""
+        for bucket in histogram:
+            if self.rank < self.below + bucket["rows"]:
+                self.low, self.high = bucket["least"], bucket["greatest"]
+                self.inside = bucket["rows"]
                 return
-            self.inside -= after - self.below
-            self.low, self.below = bound, after
+            self.below += bucket["rows"]
+        raise ValueError(f"no row of rank {self.rank} in column {self.column}")
+
+
+def _inside(interval: tuple) -> Column:
+    column, low, high = interval
+    return F.col(column).between(F.lit(low), F.lit(high))
+
+
+def _bucket(interval: tuple) -> Column:
+    """Bucket number: never decreases with the value, 0 at ``low``, BUCKETS at ``high``."""
+    column, low, high = interval
+    value = F.col(column)
+    if isinstance(low, int) and high - low < 2**62:
+        offset, width = (value - F.lit(low)).cast("double"), float(high - low)
+    else:
+        floor, top = max(float(low), -_LARGEST), min(float(high), _LARGEST)
+        scale = 1.0 if math.isfinite(top - floor) else 0.5
+        offset = value.cast("double") * scale - F.lit(floor * scale)
+        width = top * scale - floor * scale
+    share = offset / F.lit(width)
+    clipped = F.greatest(F.least(share * BUCKETS, F.lit(BUCKETS + 1.0)), F.lit(-1.0))
+    return F.floor(clipped).cast("int")
+
+
+def _tagged(values: DataFrame, intervals: Sequence[tuple], extra) -> DataFrame:
+    """One row per value and interval that holds it: ``interval``, ``value`` and ``extra``."""
+    entries = [
+        F.when(
+            _inside(interval),
+            F.struct(F.lit(i).alias("interval"), *extra(interval), F.col(interval[0]).alias("value")),
+        )
+        for i, interval in enumerate(intervals)
+    ]
+    return values.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL").select("e.*")
+
+
+def _by_type(values: DataFrame, searches: Sequence[_Search]) -> list[list[_Search]]:
+    """Searches grouped by the type of their column, so that values share a column."""
+    groups: dict[str, list[_Search]] = {}
+    for s in searches:
+        groups.setdefault(values.schema[s.column].dataType.simpleString(), []).append(s)
+    return list(groups.values())
+
+
+def _zoom_all(values: DataFrame, searches: Sequence[_Search]) -> None:
+    intervals = list(dict.fromkeys(s.interval for s in searches))
+    histogram = (
+        _tagged(values, intervals, lambda i: [_bucket(i).alias("bucket")])
+        .groupBy("interval", "bucket")
+        .agg(
+            F.count("*").alias("rows"),
+            F.min("value").alias("least"),
+            F.max("value").alias("greatest"),
+        )
+    )
+    buckets: dict[int, list[Row]] = {}
+    # At most BUCKETS + 3 rows per interval.
+    for row in histogram.collect():
+        buckets.setdefault(row["interval"], []).append(row)
+    for s in searches:
+        s.zoom(sorted(buckets[intervals.index(s.interval)], key=lambda r: r["bucket"]))
+
+
+def _pick_all(values: DataFrame, searches: Sequence[_Search]) -> None:
+    intervals = list(dict.fromkeys(s.interval for s in searches))
+    # At most candidate_limit rows per interval reach this window.
+    running = Window.partitionBy("interval").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    ranked = (
+        _tagged(values, intervals, lambda i: [])
+        .groupBy("interval", "value")
+        .agg(F.count("*").alias("copies"))
+        .withColumn("upto", F.sum("copies").over(running))
+    )
+    wanted = F.lit(False)
+    for s in searches:
+        local = s.rank - s.below
+        wanted = wanted | (
+            (F.col("interval") == intervals.index(s.interval))
+            & (F.col("upto") > local)
+            & (F.col("upto") - F.col("copies") <= local)
+        )
+    # One row per wanted rank.
+    hits = ranked.where(wanted).collect()
+    for s in searches:
+        number, local = intervals.index(s.interval), s.rank - s.below
+        for row in hits:
+            if row["interval"] == number and row["upto"] - row["copies"] <= local < row["upto"]:
+                s.low = s.high = row["value"]
+                break
 
 
-def column_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
-    """Number of present (neither null nor NaN) values per column, in one pass."""
-    row = df.agg(*[F.count(present(df, c)).alias(c) for c in columns]).first()
-    return {c: row[c] for c in columns}
+def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+    """Count, minimum and maximum of the present (neither null nor NaN) values."""
+    row = df.agg(
+        *[
+            measure.alias(f"{name}_{i}")
+            for i, c in enumerate(columns)
+            for name, measure in (
+                ("n", F.count(present(df, c))),
+                ("min", F.min(present(df, c))),
+                ("max", F.max(present(df, c))),
+            )
+        ]
+    ).first()
+    return {c: (row[f"n_{i}"], row[f"min_{i}"], row[f"max_{i}"]) for i, c in enumerate(columns)}
 
 
 def select_ranks(
     df: DataFrame,
     ranks: Mapping[str, Sequence[int]],
-    counts: Mapping[str, int],
+    ranges: Mapping[str, tuple],
     candidate_limit: int = CANDIDATE_LIMIT,
-    accuracy: int = SKETCH_ACCURACY,
 ) -> dict[tuple[str, int], object]:
     """Value at each 0-based rank in ascending order, null and NaN left out.
 
-    ``counts`` holds the number of present values per column, as returned by
-    :func:`column_counts`; ranks must lie inside it.
+    ``ranges`` comes from :func:`column_ranges`; ranks must be below its counts.
+    Columns are numeric.
     """
-    accuracy = max(100, min(accuracy, candidate_limit))
     values = df.select([present(df, c).alias(c) for c in ranks])
-    searches = [
-        _Search(column, rank, counts[column])
-        for column, wanted in ranks.items()
-        for rank in sorted(set(wanted))
-    ]
-    while True:
-        wide = [s for s in searches if not s.done and s.inside > candidate_limit]
-        if not wide:
-            break
-        _narrow(values, wide, accuracy)
-    _rank_candidates(values, [s for s in searches if not s.done])
-    return {(s.column, s.rank): s.value for s in searches}
-
-
-def _narrow(values: DataFrame, searches: list[_Search], accuracy: int) -> None:
-    sketches = [
-        F.percentile_approx(
-            F.when(s.predicate(), F.col(s.column)), s.fractions(accuracy), accuracy
-        ).alias(f"s{i}")
-        for i, s in enumerate(searches)
-    ]
-    proposed = values.agg(*sketches).first()
-    bounds = sorted({(s.column, b) for i, s in enumerate(searches) for b in proposed[f"s{i}"]})
-    tallies = []
-    for i, (column, bound) in enumerate(bounds):
-        tallies.append(F.count_if(F.col(column) < F.lit(bound)).alias(f"l{i}"))
-        tallies.append(F.count_if(F.col(column) == F.lit(bound)).alias(f"e{i}"))
-    counted = values.agg(*tallies).first()
-    place = {key: i for i, key in enumerate(bounds)}
-    for i, s in enumerate(searches):
-        low, high = proposed[f"s{i}"]
-        s.settle(
-            low,
-            high,
-            less=lambda b, c=s.column: counted[f"l{place[(c, b)]}"],
-            equal=lambda b, c=s.column: counted[f"e{place[(c, b)]}"],
-        )
-
-
-def _rank_candidates(values: DataFrame, searches: list[_Search]) -> None:
-    if not searches:
-        return
-    groups: dict[tuple, list[_Search]] = {}
-    for s in searches:
-        groups.setdefault(s.interval, []).append(s)
-    wanted = list(groups.values())
-    by_type: dict[str, list[int]] = {}
-    for i, group in enumerate(wanted):
-        kind = values.schema[group[0].column].dataType.simpleString()
-        by_type.setdefault(kind, []).append(i)
-    for members in by_type.values():
-        _rank_one_type(values, wanted, members)
-
-
-def _rank_one_type(values: DataFrame, wanted: list[list[_Search]], members: list[int]) -> None:
-    tagged = [
-        F.when(
-            wanted[i][0].predicate(),
-            F.struct(F.lit(i).alias("interval"), F.col(wanted[i][0].column).alias("value")),
-        )
-        for i in members
-    ]
-    keep = wanted[members[0]][0].predicate()
-    for i in members[1:]:
-        keep = keep | wanted[i][0].predicate()
-    # At most candidate_limit rows per interval reach this window.
-    running = Window.partitionBy("interval").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        values.where(keep)
-        .select(F.explode(F.array_compact(F.array(*tagged))).alias("c"))
-        .groupBy("c.interval", "c.value")
-        .agg(F.count("*").alias("copies"))
-        .withColumn("upto", F.sum("copies").over(running))
-        .withColumn("before", F.col("upto") - F.col("copies"))
-    )
-    hit = F.lit(False)
-    for i in members:
-        for s in wanted[i]:
-            local = s.rank - s.below
-            hit = hit | (
-                (F.col("interval") == i) & (F.col("before") <= local) & (F.col("upto") > local)
-            )
-    # One row per wanted rank.
-    for row in ranked.where(hit).collect():
-        for s in wanted[row["interval"]]:
-            if row["before"] <= s.rank - s.below < row["upto"]:
-                s.value, s.done = row["value"], True
+    searches = []
+    for column, wanted in ranks.items():
+        rows, low, high = ranges[column]
+        searches += [_Search(column, rank, low, high, rows) for rank in sorted(set(wanted))]
+    for group in _by_type(values, searches):
+        while wide := [s for s in group if not s.found and s.inside > candidate_limit]:
+            _zoom_all(values, wide)
+        if narrow := [s for s in group if not s.found]:
+            _pick_all(values, narrow)
+    return {(s.column, s.rank): s.low for s in searches}
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    counts: Mapping[str, int] | None = None,
+    ranges: Mapping[str, tuple] | None = None,
     candidate_limit: int = CANDIDATE_LIMIT,
 ) -> dict[tuple[str, float], float | None]:
     """Quantiles with linear interpolation between neighbouring values."""
-    counts = counts or column_counts(df, columns)
+    ranges = ranges or column_ranges(df, columns)
     position = {
-        (c, p): p * (counts[c] - 1) for c in columns for p in probabilities if counts[c] > 0
+        (c, p): p * (ranges[c][0] - 1) for c in columns for p in probabilities if ranges[c][0] > 0
     }
     ranks: dict[str, list[int]] = {}
     for (c, _), at in position.items():
         ranks.setdefault(c, []).extend([math.floor(at), math.ceil(at)])
-    found = select_ranks(df, ranks, counts, candidate_limit) if ranks else {}
+    found = select_ranks(df, ranks, ranges, candidate_limit) if ranks else {}
     result: dict[tuple[str, float], float | None] = {}
     for c in columns:
         for p in probabilities:
-            if (c, p) not in position:
+            at = position.get((c, p))
+            if at is None:
                 result[(c, p)] = None
                 continue
-            at = position[(c, p)]
             share = at - math.floor(at)
             low, high = found[(c, math.floor(at))], found[(c, math.ceil(at))]
             result[(c, p)] = low if low == high else low * (1.0 - share) + high * share

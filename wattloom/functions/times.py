@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -10,24 +11,46 @@ from pyspark.sql import functions as F
 from wattloom.schema import EVENT_TIME_FORMAT
 
 ISO_FORMATS = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
+    "yyyy-M-d H:m:s",
+    "yyyy-M-d H:m",
+    "yyyy-M-d'T'H:m:s",
+    "yyyy-M-d",
 ]
 MONTH_FIRST_FORMATS = [
-    "MM-dd-yyyy HH:mm:ss",
-    "MM-dd-yyyy HH:mm",
-    "MM-dd-yyyy",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy",
+    "M-d-yyyy H:m:s",
+    "M-d-yyyy H:m",
+    "M-d-yyyy",
+    "M/d/yyyy H:m:s",
+    "M/d/yyyy H:m",
+    "M/d/yyyy",
+]
+DAY_FIRST_FORMATS = [
+    "d-M-yyyy H:m:s",
+    "d-M-yyyy H:m",
+    "d-M-yyyy",
+    "d/M/yyyy H:m:s",
+    "d/M/yyyy H:m",
+    "d/M/yyyy",
 ]
-DAY_FIRST_FORMATS = [f.replace("MM-dd", "dd-MM").replace("MM/dd", "dd/MM") for f in MONTH_FIRST_FORMATS]
 
 MIXED_FORMATS = [*ISO_FORMATS, *MONTH_FIRST_FORMATS, *DAY_FIRST_FORMATS]
 MIXED_FORMATS_DAY_FIRST = [*ISO_FORMATS, *DAY_FIRST_FORMATS, *MONTH_FIRST_FORMATS]
 
+# What each format letter can match; a single letter takes one or two digits.
+_LETTERS = {
+    "yyyy": r"\d{4}",
+    "MM": r"(0[1-9]|1[0-2])",
+    "M": r"(0?[1-9]|1[0-2])",
+    "dd": r"(0[1-9]|[12]\d|3[01])",
+    "d": r"(0?[1-9]|[12]\d|3[01])",
+    "HH": r"([01]\d|2[0-3])",
+    "H": r"([01]?\d|2[0-3])",
+    "mm": r"[0-5]\d",
+    "m": r"[0-5]?\d",
+    "ss": r"[0-5]\d",
+    "s": r"[0-5]?\d",
+}
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -38,6 +61,27 @@ def parse_event_time(c: Column | str, fmt: str = EVENT_TIME_FORMAT) -> Column:
     return F.try_to_timestamp(_col(c), F.lit(fmt))
 
 
+def _shape(fmt: str) -> str | None:
+    """Regular expression for text the format may accept; None if a letter is unknown."""
+    parts = []
+    for match in re.finditer(r"'([^']*)'|(([A-Za-z])\3*)|([^A-Za-z'])", fmt):
+        quoted, letters, _, other = match.groups()
+        if letters is not None:
+            if letters not in _LETTERS:
+                return None
+            parts.append(_LETTERS[letters])
+        else:
+            parts.append(re.escape(quoted if quoted is not None else other))
+    return "^" + "".join(parts) + "$"
+
+
+def _try_format(text: Column, fmt: str) -> Column:
+    parsed = F.try_to_timestamp(text, F.lit(fmt))
+    shape = _shape(fmt)
+    # A failed parse costs an exception per row; the shape test is far cheaper.
+    return parsed if shape is None else F.when(text.rlike(shape), parsed)
+
+
 def parse_mixed_timestamp(
     c: Column | str,
     formats: Sequence[str] = MIXED_FORMATS,
@@ -51,7 +95,7 @@ def parse_mixed_timestamp(
     query on text no format matches.
     """
     text = F.trim(_col(c))
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats])
+    parsed = F.coalesce(*[_try_format(text, fmt) for fmt in formats])
     if errors == "null":
         return parsed
     if errors != "raise":

@@ -118,7 +118,12 @@ def _outside(df: DataFrame, column: str, bounds: tuple[float, float] | None):
 def iqr_outliers(df: DataFrame, column: str, k: float = 1.5, exact: bool = True) -> DataFrame:
     """Rows strictly outside the column's fences; the fences reach the scan as filters."""
     fences = iqr_bounds(df, [column], k, exact)[column]
-    return df.where(_outside(df, column, fences))
+    if fences is None:
+        return df.limit(0)
+    low, high = fences
+    c = F.col(column)
+    # NaN sorts above every number, so it passes the first test and needs the second.
+    return df.where((c < F.lit(float(low))) | (c > F.lit(float(high)))).where(~is_missing(df, column))
 
 
 def iqr_outlier_counts(
@@ -137,6 +142,13 @@ def iqr_outlier_counts(
     )
 
 
+def _ranges(moments, columns: Sequence[str]) -> dict[str, tuple]:
+    return {
+        c: (moments[f"n_{i}"], moments[f"min_{i}"], moments[f"max_{i}"])
+        for i, c in enumerate(columns)
+    }
+
+
 def describe_columns(
     df: DataFrame,
     columns: Sequence[str],
@@ -159,8 +171,8 @@ def describe_columns(
         ]
     ).first()
     if exact:
-        counts = {c: moments[f"n_{i}"] for i, c in enumerate(columns)}
-        q = exact_quantiles(df, columns, QUARTILES, counts, candidate_limit)
+        ranges = _ranges(moments, columns)
+        q = exact_quantiles(df, columns, QUARTILES, ranges, candidate_limit)
     else:
         q = approximate_quantiles(df, columns, QUARTILES)
     rows = [
@@ -205,8 +217,8 @@ def describe_times(
         ]
     ).first()
     if exact:
-        counts = {c: moments[f"n_{i}"] for i, c in enumerate(columns)}
-        q = exact_quantiles(micros, columns, QUARTILES, counts, candidate_limit)
+        ranges = _ranges(moments, columns)
+        q = exact_quantiles(micros, columns, QUARTILES, ranges, candidate_limit)
     else:
         q = approximate_quantiles(micros, columns, QUARTILES)
     rows = [

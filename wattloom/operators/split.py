@@ -30,13 +30,17 @@ def time_split(
         df = df.dropna(subset=list(complete))
     t = F.col(time_column)
     micros = df.select(F.unix_micros(t.cast("timestamp")).alias("t"))
-    counted = micros.agg(F.count("*").alias("rows"), F.count("t").alias("timed")).first()
+    counted = micros.agg(
+        F.count("*").alias("rows"),
+        F.count("t").alias("timed"),
+        F.min("t").alias("first"),
+        F.max("t").alias("last"),
+    ).first()
     train_rows = int(counted["rows"] * fraction)
 
     if train_rows < counted["timed"]:
-        cut = select_ranks(
-            micros, {"t": [train_rows]}, {"t": counted["timed"]}, candidate_limit
-        )[("t", train_rows)]
+        ranges = {"t": (counted["timed"], counted["first"], counted["last"])}
+        cut = select_ranks(micros, {"t": [train_rows]}, ranges, candidate_limit)[("t", train_rows)]
         at = F.timestamp_micros(F.lit(cut)).cast(df.schema[time_column].dataType)
         earlier, boundary, later = t < at, t == at, (t > at) | t.isNull()
     else:

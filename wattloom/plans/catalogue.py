@@ -87,7 +87,7 @@ STATE_PARTITIONS = 8
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 STATISTICS = ["AVG_POWER", "MAX_POWER", "MIN_POWER", "AVG_IRRADIATION"]
 # Small enough that the narrowing rounds run on every scale of the test tables.
-NARROW_LIMIT = 500
+NARROW_LIMIT = 20
 SMALL_FOREST = {"num_trees": 10, "max_depth": 5}
 
 

@@ -28,6 +28,7 @@ def read_csv(
         spark.read.schema(as_text)
         .option("header", True)
         .option("enforceSchema", False)
+        .option("escape", '"')
         .csv([paths] if isinstance(paths, str) else list(paths))
     )
     tokens = list(missing_tokens)

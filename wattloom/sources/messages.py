@@ -30,9 +30,8 @@ def decode_messages(
     ``NaN`` tokens stay NaN unless ``nan_as_null``.
     """
     carried = [F.col("timestamp").alias(arrival)] if arrival else []
-    parsed = records.select(
-        *carried, F.from_json(F.col("value").cast("string"), schema).alias("data")
-    )
-    names = [F.col(arrival)] if arrival else []
-    flat = parsed.select(*names, "data.*")
+    data = F.from_json(F.col("value").cast("string"), schema)
+    # inline() keeps later filters above the parser.  With a plain struct they are
+    # pushed below it, and every field they name parses the message once more.
+    flat = records.select(*carried, F.inline_outer(F.array(data)))
     return nan_to_null(flat) if nan_as_null else flat
