@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,3 +31,20 @@ def present(df: DataFrame, name: str) -> Column:
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by null in every floating column."""
     return df.select([present(df, name).alias(name) for name in df.columns])
+
+
+def all_of(tests: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, tests)
+
+
+def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows in which none of the columns is null or NaN.
+
+    The same rows as ``dropna``, but one test per column, which the scan can take
+    over one by one.
+    """
+    tests = [F.col(c).isNotNull() for c in columns]
+    tests += [
+        ~F.isnan(F.col(c)) for c in columns if isinstance(df.schema[c].dataType, _FLOATING)
+    ]
+    return df.where(all_of(tests))

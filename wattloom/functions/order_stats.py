@@ -15,22 +15,34 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions.missing import present
 
-CANDIDATE_LIMIT = 1_000_000
-BUCKETS = 1024
+CANDIDATE_LIMIT = 100_000
+BUCKETS = 4096
 SKETCH_ACCURACY = 10_000
 
 _LARGEST = 1.7976931348623157e308
 
 
+class Ranked(NamedTuple):
+    """A value, the rows below it and the rows equal to it."""
+
+    value: object
+    before: int
+    copies: int
+
+
 @dataclass
 class _Search:
-    """One wanted rank and the closed interval known to hold it."""
+    """One wanted rank and the closed interval known to hold it.
+
+    ``below`` rows lie under the interval and ``inside`` rows in it.
+    """
 
     column: str
     rank: int
@@ -145,6 +157,8 @@ def _pick_all(values: DataFrame, searches: Sequence[_Search]) -> None:
         for row in hits:
             if row["interval"] == number and row["upto"] - row["copies"] <= local < row["upto"]:
                 s.low = s.high = row["value"]
+                s.below += row["upto"] - row["copies"]
+                s.inside = row["copies"]
                 break
 
 
@@ -169,8 +183,8 @@ def select_ranks(
     ranks: Mapping[str, Sequence[int]],
     ranges: Mapping[str, tuple],
     candidate_limit: int = CANDIDATE_LIMIT,
-) -> dict[tuple[str, int], object]:
-    """Value at each 0-based rank in ascending order, null and NaN left out.
+) -> dict[tuple[str, int], Ranked]:
+    """The value at each 0-based rank in ascending order, null and NaN left out.
 
     ``ranges`` comes from :func:`column_ranges`; ranks must be below its counts.
     Columns are numeric.
@@ -185,7 +199,7 @@ def select_ranks(
             _zoom_all(values, wide)
         if narrow := [s for s in group if not s.found]:
             _pick_all(values, narrow)
-    return {(s.column, s.rank): s.low for s in searches}
+    return {(s.column, s.rank): Ranked(s.low, s.below, s.inside) for s in searches}
 
 
 def exact_quantiles(
@@ -212,7 +226,8 @@ def exact_quantiles(
                 result[(c, p)] = None
                 continue
             share = at - math.floor(at)
-            low, high = found[(c, math.floor(at))], found[(c, math.ceil(at))]
+            low = found[(c, math.floor(at))].value
+            high = found[(c, math.ceil(at))].value
             result[(c, p)] = low if low == high else low * (1.0 - share) + high * share
     return result
 

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattloom.functions.missing import nan_to_null
+from wattloom.functions.missing import all_of, complete_rows, nan_to_null
 from wattloom.functions.times import parse_event_time
 from wattloom.schema import (
     NON_NEGATIVE_COLUMNS,
@@ -41,10 +40,6 @@ def with_event_time(df: DataFrame, column: str = "DATE_TIME") -> DataFrame:
     return df.withColumn(column, parse_event_time(column))
 
 
-def _all_of(tests: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, tests)
-
-
 def clean_readings(
     df: DataFrame,
     required: Sequence[str] = REQUIRED_COLUMNS,
@@ -62,7 +57,7 @@ def clean_readings(
         df = with_event_time(df, time_column)
     if nan_as_null:
         df = nan_to_null(df)
-    return df.dropna(subset=list(required)).where(_all_of([F.col(c) >= 0 for c in non_negative]))
+    return complete_rows(df, required).where(all_of([F.col(c) >= 0 for c in non_negative]))
 
 
 def validate_for_scoring(
@@ -75,7 +70,7 @@ def validate_for_scoring(
     The event time stays text and is not checked here; NaN passes both tests.
     """
     tests = [F.col(c).isNotNull() for c in required] + [F.col(c) >= 0 for c in non_negative]
-    return df.where(_all_of(tests))
+    return df.where(all_of(tests))
 
 
 def dedupe(df: DataFrame) -> DataFrame:

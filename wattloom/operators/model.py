@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattloom.functions.missing import complete_rows
 from wattloom.functions.times import parse_event_time
 from wattloom.operators.clean import validate_for_scoring
 from wattloom.schema import FEATURES, TARGET
@@ -41,7 +42,8 @@ def train_power_model(
         "maxMemoryInMB": 512,
         **forest_options,
     }
-    complete = df.select(*features, F.col(target).cast("double").alias(target)).dropna()
+    needed = df.select(*features, F.col(target).cast("double").alias(target))
+    complete = complete_rows(needed, needed.columns)
     forest = RandomForestRegressor(
         featuresCol="_features",
         labelCol=target,
@@ -51,7 +53,13 @@ def train_power_model(
         seed=seed,
         **options,
     )
-    return Pipeline(stages=[_assembler(features), forest]).fit(complete)
+    return Pipeline(stages=[_assembler(features), forest]).fit(_spread(complete))
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Use every core when the source has fewer splits than cores (one small file)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.functions.missing import present
+from wattloom.functions.missing import all_of, present
 from wattloom.functions.ranking import with_global_index
 from wattloom.functions.times import day_name, floor_hour, weekend_flag
 from wattloom.operators.lookup_join import BROADCAST_BYTES, lookup_join
@@ -30,7 +30,7 @@ def hourly_weather(
     grouping = [time_column, *keys]
     return (
         weather.withColumn(time_column, floor_hour(time_column))
-        .dropna(subset=grouping)
+        .where(all_of([F.col(c).isNotNull() for c in grouping]))
         .groupBy(*grouping)
         .agg(*[F.avg(present(weather, m)).alias(m) for m in measures])
     )

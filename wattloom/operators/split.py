@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattloom.functions.missing import complete_rows
 from wattloom.functions.order_stats import CANDIDATE_LIMIT, select_ranks
 from wattloom.functions.ranking import with_global_index
 
@@ -27,7 +28,7 @@ def time_split(
     ``tie_columns``, to place the remainder.
     """
     if complete:
-        df = df.dropna(subset=list(complete))
+        df = complete_rows(df, complete)
     t = F.col(time_column)
     micros = df.select(F.unix_micros(t.cast("timestamp")).alias("t"))
     counted = micros.agg(
@@ -41,18 +42,16 @@ def time_split(
     if train_rows < counted["timed"]:
         ranges = {"t": (counted["timed"], counted["first"], counted["last"])}
         cut = select_ranks(micros, {"t": [train_rows]}, ranges, candidate_limit)[("t", train_rows)]
-        at = F.timestamp_micros(F.lit(cut)).cast(df.schema[time_column].dataType)
+        at = F.timestamp_micros(F.lit(cut.value)).cast(df.schema[time_column].dataType)
         earlier, boundary, later = t < at, t == at, (t > at) | t.isNull()
+        remainder, ties = train_rows - cut.before, cut.copies
     else:
         earlier, boundary, later = t.isNotNull(), t.isNull(), F.lit(False)
+        remainder, ties = train_rows - counted["timed"], counted["rows"] - counted["timed"]
 
-    sizes = df.agg(
-        F.count_if(earlier).alias("earlier"), F.count_if(boundary).alias("boundary")
-    ).first()
-    remainder = train_rows - sizes["earlier"]
     if remainder == 0:
         return df.where(earlier), df.where(boundary | later)
-    if remainder == sizes["boundary"]:
+    if remainder == ties:
         return df.where(earlier | boundary), df.where(later)
     ranked = with_global_index(df.where(boundary), tie_columns, "_rank")
     return (

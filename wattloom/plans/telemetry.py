@@ -25,8 +25,10 @@ def event_stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return stream_files(spark, f"{sf_dir}/events.parque[t]", schema, **options)
 
 
-def _bucket() -> Column:
-    return F.get_json_object("props", "$.k").try_cast("int")
+def _with_bucket(events: DataFrame) -> DataFrame:
+    """``k`` from the event's properties, extracted once per row whatever uses it."""
+    parsed = F.from_json("props", "k int")
+    return events.select("*", F.inline_outer(F.array(parsed)))
 
 
 def telemetry_view(events: DataFrame) -> DataFrame:
@@ -34,8 +36,10 @@ def telemetry_view(events: DataFrame) -> DataFrame:
     t = F.col("ts").cast("timestamp")
     k = F.col("k").cast("double")
     value = F.col("value")
-    wide = events.withColumn("k", _bucket())
-    return wide.select(
+    if "k" not in events.columns:
+        # A plain expression, so that reports without k do not read the properties.
+        events = events.withColumn("k", F.get_json_object("props", "$.k").try_cast("int"))
+    return events.select(
         "event_id",
         "event_type",
         t.alias("ts"),
@@ -70,7 +74,7 @@ def faulty_view(events: DataFrame) -> DataFrame:
             c = F.when(k == at, value).otherwise(c)
         return c
 
-    return telemetry_view(events).withColumns(
+    return telemetry_view(_with_bucket(events)).withColumns(
         {
             "PLANT_ID": broken("PLANT_ID", (0, F.lit(None))),
             "POWER_GENERATED": broken(
