@@ -81,14 +81,15 @@ def _bucket(interval: tuple) -> Column:
     value = F.col(column)
     if isinstance(low, int) and high - low < 2**62:
         offset, width = (value - F.lit(low)).cast("double"), float(high - low)
-    else:
-        floor, top = max(float(low), -_LARGEST), min(float(high), _LARGEST)
-        scale = 1.0 if math.isfinite(top - floor) else 0.5
-        offset = value.cast("double") * scale - F.lit(floor * scale)
-        width = top * scale - floor * scale
-    share = offset / F.lit(width)
-    clipped = F.greatest(F.least(share * BUCKETS, F.lit(BUCKETS + 1.0)), F.lit(-1.0))
-    return F.floor(clipped).cast("int")
+        return F.floor(offset / F.lit(width) * BUCKETS).cast("int")
+    floor, top = max(float(low), -_LARGEST), min(float(high), _LARGEST)
+    scale = 1.0 if math.isfinite(top - floor) else 0.5
+    offset = value.cast("double") * scale - F.lit(floor * scale)
+    share = offset / F.lit(top * scale - floor * scale) * BUCKETS
+    if math.isinf(low) or math.isinf(high):
+        # Infinite values get the buckets next to the finite ones.
+        share = F.greatest(F.least(share, F.lit(BUCKETS + 1.0)), F.lit(-1.0))
+    return F.floor(share).cast("int")
 
 
 def _tagged(values: DataFrame, intervals: Sequence[tuple], extra) -> DataFrame:

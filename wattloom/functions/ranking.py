@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.workspace import materialize
@@ -13,20 +13,25 @@ from wattloom.workspace import materialize
 _POSITION_MASK = (1 << 33) - 1
 
 
-def with_global_index(df: DataFrame, order: Sequence[str | Column], index: str = "ROW_INDEX") -> DataFrame:
-    """Add the 0-based position of each row in ``order``.
+def with_global_index(
+    df: DataFrame, order: Sequence[str], index: str = "ROW_INDEX", unique: bool = False
+) -> DataFrame:
+    """Add the 0-based position of each row in ascending ``order``, missing values last.
 
     Rows are range-partitioned and sorted in parallel, the sorted table is written
     once, and each partition's start is the running sum of the earlier partitions'
-    row counts (one small row per partition).  Rows that tie on ``order`` are told
-    apart by an arrival number, so equal rows may spread over several partitions.
+    row counts (one small row per partition).  Rows that tie on ``order`` are first
+    given an arrival number, so equal rows may spread over several partitions; it is
+    stored before the shuffle, so a repeated task sends each row the same way.
+    ``unique`` says that no two rows tie and saves that step.
     """
     arrival = "_arrival"
-    keys = [F.col(k) if isinstance(k, str) else k for k in order]
-    keys = [k.asc_nulls_last() for k in keys] + [F.col(arrival)]
+    keys = [F.col(k).asc_nulls_last() for k in order]
+    if not unique:
+        df = materialize(df.withColumn(arrival, F.monotonically_increasing_id()), "arrivals")
+        keys.append(F.col(arrival).asc())
     located = (
-        df.withColumn(arrival, F.monotonically_increasing_id())
-        .repartitionByRange(*keys)
+        df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .drop(arrival)
         .withColumn("_part", F.spark_partition_id())

@@ -87,7 +87,7 @@ def finalize_features(
 def label_codes(df: DataFrame, column: str, code: str = "CODE") -> DataFrame:
     """One row per distinct value with its position in code-point order, from 0."""
     distinct = df.select(column).dropna().dropDuplicates()
-    return with_global_index(distinct, [column], code)
+    return with_global_index(distinct, [column], code, unique=True)
 
 
 def label_encode(

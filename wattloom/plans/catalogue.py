@@ -416,7 +416,7 @@ def _stats_schema(count_name: str = "TOTAL_RECORDS", windowed: bool = True) -> T
 @query("window_batch")
 def _window_batch(spark, sf_dir):
     records = as_records(_faulty(spark, sf_dir))
-    clean = clean_readings(decode_messages(records), nan_as_null=True)
+    clean = clean_readings(decode_messages(records, jobs.STATISTICS_FIELDS), nan_as_null=True)
     return _zoneless(_six(window_stats(clean, size="1 hour"), *STATISTICS))
 
 

@@ -10,9 +10,11 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.operators.clean import clean_readings, enforce_types
+from wattloom.schema import NON_NEGATIVE_COLUMNS, READING_SCHEMA, REQUIRED_COLUMNS
 from wattloom.sources.messages import decode_messages
 from wattloom.streaming.scoring import SCORING_TRIGGER, start_scoring
 from wattloom.streaming.sinks import archive_stream, start_batches
@@ -20,6 +22,11 @@ from wattloom.streaming.windows import running_totals, window_stats
 
 BatchSink = Callable[[DataFrame, int], None]
 
+# The statistics need these fields only; the parser skips the others.
+STATISTICS_FIELDS = T.StructType(
+    [READING_SCHEMA[c] for c in dict.fromkeys([*REQUIRED_COLUMNS, *NON_NEGATIVE_COLUMNS])]
+)
+
 
 def archive_job(
     records: DataFrame,
@@ -44,7 +51,8 @@ def window_job(
     trigger: Mapping | None = None,
 ) -> StreamingQuery:
     """Statistics of clean readings per arrival-time window, each window once."""
-    clean = clean_readings(decode_messages(records), nan_as_null=nan_as_null)
+    decoded = decode_messages(records, STATISTICS_FIELDS)
+    clean = clean_readings(decoded, nan_as_null=nan_as_null)
     stats = window_stats(clean, size=size, delay=delay, count_name=count_name)
     return start_batches(stats, sink, checkpoint, trigger=trigger)
 
@@ -57,7 +65,8 @@ def totals_job(
     trigger: Mapping | None = None,
 ) -> StreamingQuery:
     """Running statistics of all clean readings, one snapshot per micro-batch."""
-    clean = clean_readings(decode_messages(records, arrival=None), nan_as_null=nan_as_null)
+    decoded = decode_messages(records, STATISTICS_FIELDS, arrival=None)
+    clean = clean_readings(decoded, nan_as_null=nan_as_null)
     return start_batches(running_totals(clean), sink, checkpoint, "complete", trigger)
 
 

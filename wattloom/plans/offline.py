@@ -18,6 +18,7 @@ from wattloom.operators.prepare import (
 )
 from wattloom.schema import GENERATION_SCHEMA, WEATHER_SCHEMA
 from wattloom.sources.files import read_csv
+from wattloom.workspace import materialize
 
 
 def load_plants(
@@ -39,6 +40,10 @@ def master_table(
 
 
 def feature_table(master: DataFrame, target: Column) -> DataFrame:
-    """Deduplicated readings with calendar columns, encoded source and target."""
-    featured = calendar_features(dedupe(master))
+    """Deduplicated readings with calendar columns, encoded source and target.
+
+    The deduplicated table is stored, because the encoder reads it twice: its key
+    column for the codes, and whole for the result.
+    """
+    featured = materialize(calendar_features(dedupe(master)), "featured")
     return finalize_features(label_encode(featured, "SOURCE_KEY"), target)
