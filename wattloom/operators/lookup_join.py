@@ -31,10 +31,14 @@ def table_bytes(df: DataFrame) -> int:
 
 
 def hot_keys(facts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: at most ``1 / share`` keys."""
-    counts = facts.groupBy(*keys).agg(F.count("*").alias("_n"))
-    floor = counts.agg((F.sum("_n") * share).alias("floor")).scalar()
-    return counts.where(F.col("_n") > floor).dropna(subset=list(keys)).select(*keys)
+    """Keys that hold more than ``share`` of the rows: at most ``1 / share`` keys.
+
+    The counts are stored, so the facts are read once for them.
+    """
+    counted = facts.groupBy(*keys).agg(F.count("*").alias("_n"))
+    counts = materialize(counted.dropna(subset=list(keys)), "keycounts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    return counts.where(F.col("_n") > total * share).select(*keys)
 
 
 def lookup_join(
@@ -61,9 +65,8 @@ def lookup_join(
         return facts.join(F.broadcast(stored), keys, how)
 
     salt = "_salt"
-    hot = materialize(hot_keys(facts, keys, hot_share), "hotkeys").withColumn("_hot", F.lit(True))
     # Bounded by 1 / hot_share rows.
-    hot = F.broadcast(hot)
+    hot = F.broadcast(hot_keys(facts, keys, hot_share).withColumn("_hot", F.lit(True)))
     row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
     no_match = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salted_facts = (
