@@ -17,7 +17,9 @@ from wattloom.operators.model import (
 )
 from wattloom.plans.telemetry import readings, telemetry_view
 from wattloom.plans.telemetry import table as source
+from wattloom.plans.training import train_job
 from wattloom.schema import FEATURES
+from wattloom.sources.files import read_csv
 
 
 @pytest.fixture(scope="module")
@@ -121,3 +123,19 @@ def test_textual_features_are_converted_or_skipped(spark, model):
         "DC_POWER", F.when(F.col("SOURCE_KEY") == "1", F.lit("1.5")).otherwise(F.lit("high"))
     )
     assert [r["SOURCE_KEY"] for r in score_readings(model, text).collect()] == ["1"]
+
+
+def test_train_job_keeps_everything(spark, data, tmp_path):
+    model_path, csv_path = str(tmp_path / "m"), str(tmp_path / "p")
+    trained = train_job(data, model_path, csv_path, num_trees=2, max_depth=3)
+    n = data.count()
+    assert trained.predictions.count() == n - int(n * 0.8)
+    assert trained.metrics.first()["N"] == n - int(n * 0.8)
+    assert trained.importance.count() == len(FEATURES)
+    # The test part is the latest: no training time lies after its first time.
+    first = trained.predictions.agg(F.min("DATE_TIME")).first()[0]
+    assert data.where(F.col("DATE_TIME") < first).count() <= int(n * 0.8)
+    stored = read_csv(spark, csv_path, trained.predictions.schema)
+    assert stored.exceptAll(trained.predictions).count() == 0
+    again = predictions_table(load_model(model_path), data)
+    assert trained.predictions.exceptAll(again).count() == 0

@@ -64,3 +64,10 @@ def test_extremes(spark):
     poisoned = df.unionByName(table(spark, reading(POWER_GENERATED=NAN)))
     assert math.isnan(reports.max_power(poisoned).first()[0])
     assert reports.max_power(df.where(F.lit(False))).first()[0] is None
+
+
+def test_all_reports(spark):
+    df = table(spark, reading())
+    found = reports.all_reports(df)
+    assert len(found) == 12
+    assert all(frame.count() == 1 for frame in found.values())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,3 +93,25 @@ def max_power(df: DataFrame, value: str = TARGET) -> DataFrame:
 
 def min_power(df: DataFrame, value: str = TARGET) -> DataFrame:
     return df.agg(F.min(value).alias("MIN_POWER"))
+
+
+# Report name to report, in reading order.
+REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "total_records": total_records,
+    "average_power": average_power,
+    "monthly": monthly_power,
+    "daily": daily_power,
+    "hourly": hourly_power,
+    "by_plant": power_by_plant,
+    "by_weekday": power_by_weekday,
+    "by_temperature": power_by_temperature,
+    "by_irradiation": power_by_irradiation,
+    "top_power": top_readings,
+    "max_power": max_power,
+    "min_power": min_power,
+}
+
+
+def all_reports(readings: DataFrame) -> dict[str, DataFrame]:
+    """Every report over one table, none of them run yet."""
+    return {name: report(readings) for name, report in REPORTS.items()}

@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from wattloom.functions.missing import present
 from wattloom.functions.times import parse_mixed_timestamp
-from wattloom.operators import reports
 from wattloom.operators.clean import (
     clean_readings,
     dedupe,
@@ -49,6 +48,7 @@ from wattloom.operators.profile import (
     profile,
     quartiles,
 )
+from wattloom.operators.reports import REPORTS
 from wattloom.operators.split import time_split
 from wattloom.plans import jobs
 from wattloom.plans.offline import feature_table, master_table
@@ -61,6 +61,7 @@ from wattloom.plans.telemetry import (
     table,
     telemetry_view,
 )
+from wattloom.plans.training import train_job
 from wattloom.schema import (
     EXPORT_COLUMNS,
     FEATURES,
@@ -121,22 +122,12 @@ def _zoneless(df: DataFrame) -> DataFrame:
     )
 
 
-def _report(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, sf_dir: build(_view(spark, sf_dir))
+def _report(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(_view(spark, sf_dir))
 
 
-_report("q01_total_records", reports.total_records)
-_report("q02_average_power", reports.average_power)
-_report("q03_monthly", reports.monthly_power)
-_report("q04_daily", reports.daily_power)
-_report("q05_hourly", reports.hourly_power)
-_report("q06_by_plant", reports.power_by_plant)
-_report("q07_by_weekday", reports.power_by_weekday)
-_report("q08_by_temperature", reports.power_by_temperature)
-_report("q09_by_irradiation", reports.power_by_irradiation)
-_report("q10_top_power", reports.top_readings)
-_report("q11_max_power", reports.max_power)
-_report("q12_min_power", reports.min_power)
+for _number, (_name, _build) in enumerate(REPORTS.items(), start=1):
+    QUERIES[f"q{_number:02d}_{_name}"] = _report(_build)
 
 
 @query("view_sql")
@@ -587,8 +578,10 @@ def _ml_predictions(spark, sf_dir):
 
 @query("ml_metrics")
 def _ml_metrics(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
-    return regression_metrics(predictions_table(_stored_model(spark, train), test))
+    trained = train_job(
+        _training_rows(spark, sf_dir), new_path(spark, "model"), tie_columns=TIES, **SMALL_FOREST
+    )
+    return trained.metrics
 
 
 @query("ml_importance")
