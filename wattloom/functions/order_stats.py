@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.missing import present
 
-CANDIDATE_LIMIT = 100_000
+CANDIDATE_LIMIT = 65_536
 BUCKETS = 4096
 SKETCH_ACCURACY = 10_000
 
