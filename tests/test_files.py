@@ -9,7 +9,11 @@ from wattloom.sinks.files import write_csv
 from wattloom.sources.files import read_archive, read_csv, register_view
 
 SCHEMA = T.StructType(
-    [T.StructField("N", T.IntegerType()), T.StructField("X", T.DoubleType()), T.StructField("S", T.StringType())]
+    [
+        T.StructField("N", T.IntegerType()),
+        T.StructField("X", T.DoubleType()),
+        T.StructField("S", T.StringType()),
+    ]
 )
 
 

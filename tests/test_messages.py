@@ -53,7 +53,8 @@ def test_nan_token(spark):
     text = '{"PLANT_ID": 1, "DC_POWER": NaN}'
     assert math.isnan(decode_messages(records(spark, text)).first()["DC_POWER"])
     assert decode_messages(records(spark, text), nan_as_null=True).first()["DC_POWER"] is None
-    assert math.isnan(decode_messages(encode_messages(table(spark, reading(DC_POWER=NAN))), arrival=None).first()["DC_POWER"])
+    encoded = encode_messages(table(spark, reading(DC_POWER=NAN)))
+    assert math.isnan(decode_messages(encoded, arrival=None).first()["DC_POWER"])
 
 
 def test_filters_do_not_repeat_the_parser(spark):

@@ -25,6 +25,8 @@ def one(spark, value, expression):
         ("2020-05-15 13:45", datetime(2020, 5, 15, 13, 45), None),
         ("2020-05-15T13:45:10", datetime(2020, 5, 15, 13, 45, 10), None),
         ("2020-05-15", datetime(2020, 5, 15), None),
+        ("2020-5-1 7:05", datetime(2020, 5, 1, 7, 5), None),
+        ("2020-05-15 13:45:10.25", datetime(2020, 5, 15, 13, 45, 10, 250000), None),
         ("15-05-2020 00:15", datetime(2020, 5, 15, 0, 15), None),
         ("05-15-2020 00:15", datetime(2020, 5, 15, 0, 15), None),
         ("01-06-2020 10:00", datetime(2020, 1, 6, 10), datetime(2020, 6, 1, 10)),
@@ -38,7 +40,7 @@ def test_mixed_formats(spark, text, month_first, day_first):
     assert other == (day_first or month_first)
 
 
-@pytest.mark.parametrize("text", ["", "n/a", "2020-13-45", "99-99-2020 10:00", "30-02-2020 10:00", None])
+@pytest.mark.parametrize("text", ["", "n/a", "2020-13-45", "99-99-2020 10:00", "30-02-2020 10:00", "10:00", None])
 def test_unreadable_text_is_null(spark, text):
     assert one(spark, text, parse_mixed_timestamp("c")) is None
 
@@ -56,6 +58,12 @@ def test_format_with_unknown_letters_still_parses(spark):
     assert one(spark, "3 Feb 2021 04:05", parsed) == datetime(2021, 2, 3, 4, 5)
 
 
+def test_format_with_optional_part_still_parses(spark):
+    parsed = parse_mixed_timestamp("c", ["dd.MM.yyyy[ HH:mm]"])
+    assert one(spark, "03.02.2021", parsed) == datetime(2021, 2, 3)
+    assert one(spark, "03.02.2021 04:05", parsed) == datetime(2021, 2, 3, 4, 5)
+
+
 def test_event_time_takes_one_format(spark):
     assert one(spark, "2024-01-31 23:59:59", parse_event_time("c")) == datetime(2024, 1, 31, 23, 59, 59)
     assert one(spark, "31-01-2024 23:59", parse_event_time("c")) is None

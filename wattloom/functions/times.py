@@ -10,12 +10,8 @@ from pyspark.sql import functions as F
 
 from wattloom.schema import EVENT_TIME_FORMAT
 
-ISO_FORMATS = [
-    "yyyy-M-d H:m:s",
-    "yyyy-M-d H:m",
-    "yyyy-M-d'T'H:m:s",
-    "yyyy-M-d",
-]
+# Year first: whatever Spark itself reads, with or without time, fraction and zone.
+ISO = "ISO"
 MONTH_FIRST_FORMATS = [
     "M-d-yyyy H:m:s",
     "M-d-yyyy H:m",
@@ -33,8 +29,8 @@ DAY_FIRST_FORMATS = [
     "d/M/yyyy",
 ]
 
-MIXED_FORMATS = [*ISO_FORMATS, *MONTH_FIRST_FORMATS, *DAY_FIRST_FORMATS]
-MIXED_FORMATS_DAY_FIRST = [*ISO_FORMATS, *DAY_FIRST_FORMATS, *MONTH_FIRST_FORMATS]
+MIXED_FORMATS = [ISO, *MONTH_FIRST_FORMATS, *DAY_FIRST_FORMATS]
+MIXED_FORMATS_DAY_FIRST = [ISO, *DAY_FIRST_FORMATS, *MONTH_FIRST_FORMATS]
 
 # What each format letter can match; a single letter takes one or two digits.
 _LETTERS = {
@@ -62,7 +58,9 @@ def parse_event_time(c: Column | str, fmt: str = EVENT_TIME_FORMAT) -> Column:
 
 
 def _shape(fmt: str) -> str | None:
-    """Regular expression for text the format may accept; None if a letter is unknown."""
+    """Regular expression for text the format may accept; None if that is not known."""
+    if "[" in fmt:
+        return None
     parts = []
     for match in re.finditer(r"'([^']*)'|(([A-Za-z])\3*)|([^A-Za-z'])", fmt):
         quoted, letters, _, other = match.groups()
@@ -76,6 +74,9 @@ def _shape(fmt: str) -> str | None:
 
 
 def _try_format(text: Column, fmt: str) -> Column:
+    if fmt == ISO:
+        # A bare time of day would be read as today's.
+        return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), F.try_to_timestamp(text))
     parsed = F.try_to_timestamp(text, F.lit(fmt))
     shape = _shape(fmt)
     # A failed parse costs an exception per row; the shape test is far cheaper.
@@ -89,8 +90,9 @@ def parse_mixed_timestamp(
 ) -> Column:
     """Timestamp from text whose format differs from row to row.
 
-    Formats are tried in order, so the default reads an ambiguous ``01-06-2020``
-    as January 6 and takes day-first only where month-first is impossible.  Pass
+    A format is a pattern, or ``ISO`` for year-first text in any detail.  Formats are
+    tried in order, so the default reads an ambiguous ``01-06-2020`` as January 6 and
+    takes day-first only where month-first is impossible.  Pass
     ``MIXED_FORMATS_DAY_FIRST`` for day-first data.  ``errors="raise"`` fails the
     query on text no format matches.
     """
