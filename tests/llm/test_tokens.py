@@ -1,0 +1,210 @@
+"""Counting, packing and token files against the tokenizers library."""
+
+import glob
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tests.llm.fixtures import DOC_SCHEMA, awkward_texts, documents, words
+from tokenizers import Tokenizer
+
+from wattloom.llm import packing, pretokens
+from wattloom.llm.packing import pack_documents, plan_packing, stream_pieces
+from wattloom.llm.pretokens import TextEncoder
+from wattloom.llm.queries import QUERIES
+from wattloom.llm.token_counts import token_counts
+from wattloom.llm.token_files import read_document, read_token_files, write_token_files
+
+BYTE = public_tokenizers.path("byte_bpe_50k.json")
+WORD = public_tokenizers.path("word_bpe_49k.json")
+
+
+def library_ids(path, texts):
+    tokenizer = Tokenizer.from_file(path)
+    return [
+        tokenizer.encode(t, add_special_tokens=False).ids if t else [] for t in texts
+    ]
+
+
+def rows_of(sf_dir):
+    import duckdb
+
+    return duckdb.connect().execute(f"SELECT doc_id, text FROM '{sf_dir}/documents.parquet'").fetchall()
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_encoder_equals_library_on_awkward_texts(path):
+    encoder = TextEncoder(path)
+    for text, want in zip(awkward_texts(), library_ids(path, awkward_texts())):
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == want
+        assert encoder.count(text) == len(want)
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(max_codepoint=0x260, exclude_categories=["Cs"]), max_size=60))
+def test_encoder_equals_library_on_latin_characters(path, text):
+    encoder = pretokens.text_encoder(path)
+    assert np.frombuffer(encoder.ids(text), "<u4").tolist() == library_ids(path, [text])[0]
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_blocks_and_a_full_cache_change_nothing(path, monkeypatch):
+    monkeypatch.setattr(pretokens, "BLOCK_CHARS", 50)
+    monkeypatch.setattr(pretokens, "CACHE_LIMIT", 20)
+    text = "  \n ".join(words(3, 500)) + " it's  <|endoftext|> " + " ".join(words(4, 500))
+    encoder = TextEncoder(path)
+    assert np.frombuffer(encoder.ids(text), "<u4").tolist() == library_ids(path, [text])[0]
+    assert encoder.count(text) == len(library_ids(path, [text])[0])
+
+
+def test_counts_of_awkward_texts(spark):
+    texts = awkward_texts()
+    df = documents(spark, texts).withColumn("n_tokens", F.lit("clash"))
+    got = {r["doc_id"]: r for r in token_counts(df, BYTE).collect()}
+    for i, (text, ids) in enumerate(zip(texts, library_ids(BYTE, texts))):
+        assert (got[i]["n_bytes"], got[i]["n_tokens"]) == (len((text or "").encode()), len(ids))
+    assert token_counts(documents(spark, []), BYTE).count() == 0
+    one = spark.createDataFrame([(None, "a b")], "doc_id long, text string")
+    assert [tuple(r) for r in token_counts(one, BYTE).collect()] == [(None, 3, 2)]
+
+
+def test_count_query(spark, sf_dir):
+    got = {r["doc_id"]: tuple(r) for r in QUERIES["op1_token_counts"](spark, sf_dir).collect()}
+    rows = rows_of(sf_dir)
+    for (doc_id, text), ids in zip(rows, library_ids(BYTE, [t for _, t in rows])):
+        assert got[doc_id] == (doc_id, len(text.encode()), len(ids), len(ids) > 512)
+    assert len(got) == len(rows)
+
+
+def check_pieces(rows, pieces, path, size, end_id):
+    want = {k: ids + [end_id] for (k, _), ids in zip(rows, library_ids(path, [t for _, t in rows]))}
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_doc[p["doc_id"]].append(p)
+        by_sequence[p["sequence_id"]].append((p["offset"], p["length"]))
+    assert set(by_doc) == set(want)
+    for k, own in by_doc.items():
+        at = 0
+        for p in sorted(own, key=lambda p: p["start"]):
+            assert p["start"] == at and p["length"] > 0 and p["doc_tokens"] == len(want[k])
+            raw = np.array(want[k][at : at + p["length"]], "<u4").tobytes()
+            assert p["ids_crc32"] == zlib.crc32(raw)
+            at += p["length"]
+        assert at == len(want[k])
+    padded = 0
+    for spans in by_sequence.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= size
+        padded += at & (at - 1) != 0
+    assert padded == 0
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+
+
+def test_packing_query(spark, sf_dir):
+    pieces = QUERIES["op9_packing"](spark, sf_dir).collect()
+    check_pieces(rows_of(sf_dir), pieces, WORD, 2048, 1)
+
+
+def test_packing_of_awkward_texts(spark):
+    texts = awkward_texts() * 20
+    df = documents(spark, texts).withColumn("length", F.lit("clash")).repartition(3)
+    pieces = pack_documents(df, WORD, size=64, end_id=1).collect()
+    check_pieces(list(enumerate(texts)), pieces, WORD, 64, 1)
+    assert all(zlib.crc32(p["ids"]) == p["ids_crc32"] for p in pieces)
+    assert pack_documents(documents(spark, []), WORD).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 63), st.integers(1, 500), max_size=63))
+def test_plan_places_every_rest_once(histogram):
+    plan = plan_packing(histogram, 64, 7)
+    spans, seen = defaultdict(list), Counter()
+    for run in plan.runs:
+        for rank in range(run.first, run.last):
+            seen[run.length, rank] += 1
+            i = rank - run.first
+            if run.copies:
+                at = run.offset + i % run.copies * run.length
+                spans[run.sequence + i // run.copies].append((at, run.length))
+            else:
+                for n, sequence, at in stream_pieces(
+                    run.offset + i * run.length, run.length, plan, 64
+                ):
+                    spans[sequence].append((at, n))
+    assert seen == Counter({(n, r): 1 for n, c in histogram.items() for r in range(c)})
+    for own in spans.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at & (at - 1) == 0 and at <= 64
+    assert sorted(spans) == list(range(7, 7 + len(spans)))
+
+
+def test_least_squares_recovers_exact_counts():
+    columns = packing.combinations(np.array([16, 20, 24, 28, 44]), 64)
+    assert any((columns == [44, 1, 20, 1]).all(axis=1))
+    histogram = np.zeros(65)
+    histogram[[44, 20]] = 300.0
+    x = packing.non_negative_least_squares(columns, histogram)
+    used = np.zeros(65)
+    for (a, i, b, j), n in zip(columns, x):
+        used[a] += i * n
+        used[b] += j * n
+    assert (x >= 0).all() and np.abs(used[1:] - histogram[1:]).max() < 1.0
+    plan = plan_packing({44: 300, 20: 300}, 64)
+    assert plan.stream_tokens <= 3 * 64
+
+
+def test_token_file_query(spark, sf_dir):
+    got = [tuple(r) for r in QUERIES["op10_token_files"](spark, sf_dir).collect()]
+    rows, start = sorted(rows_of(sf_dir)), 0
+    want = []
+    for (k, _), ids in zip(rows, library_ids(BYTE, [t for _, t in rows])):
+        raw = np.array(ids + [0], "<u4").tobytes()
+        want.append((k, start, len(ids) + 1, zlib.crc32(raw)))
+        start += len(ids) + 1
+    assert sorted(got) == want
+
+
+def test_token_files_of_awkward_texts(spark, tmp_path):
+    texts = awkward_texts()
+    rows = [(k, t) for k, t in enumerate(texts)] + [(None, "no id"), (3, "again"), (3, "again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit(1))
+    folder = f"file://{tmp_path}/files"
+    write_token_files(df.repartition(3), BYTE, folder)
+    got = read_token_files(spark, folder).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None, 0, 1, 2, 3, 3, 3, *range(4, len(texts))]
+    at, wanted = 0, Counter((k, tuple([*ids, 0])) for (k, _), ids in zip(rows, library_ids(BYTE, [t for _, t in rows])))
+    for r in got:
+        ids = np.frombuffer(r["ids"], "<u4")
+        assert r["start"] == at and r["n_tokens"] == len(ids)
+        at += len(ids)
+    assert Counter((r["doc_id"], tuple(np.frombuffer(r["ids"], "<u4").tolist())) for r in got) == wanted
+    write_token_files(documents(spark, []), BYTE, f"{folder}-empty")
+    assert read_token_files(spark, f"{folder}-empty").count() == 0
+
+
+def test_dictionary_and_single_documents(spark, tmp_path):
+    texts = [" ".join(words(i, 300, 3000)) for i in range(900)]
+    folder = f"file://{tmp_path}/files"
+    write_token_files(documents(spark, texts), BYTE, folder)
+    assert len(glob.glob(f"{tmp_path}/files/dictionary-*.zdict")) == 1
+    part = spark.read.parquet(f"{folder}/manifest").orderBy("part").first()
+    first = read_token_files(spark, folder).orderBy("start").collect()[5]
+    assert read_document(folder, part["file"], 5) == bytes(first["ids"])
+
+
+def test_null_ids_keep_their_type(spark):
+    df = spark.createDataFrame([(2**60 + 1, "a"), (None, None)], "doc_id long, text string")
+    got = {r["doc_id"] for r in pack_documents(df, WORD).collect()}
+    assert got == {2**60 + 1, None} and DOC_SCHEMA.startswith("doc_id long")
