@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattloom.llm.jaccard_join import near_duplicates
 from wattloom.llm.packing import pack_documents
+from wattloom.llm.substring_dedup import remove_repeats
 from wattloom.llm.token_counts import token_counts
 from wattloom.llm.token_files import read_token_files, write_token_files
 from wattloom.llm.topk import is_usable, quantized, top_k
@@ -40,6 +42,17 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near-duplicate documents."""
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that lie in repeated windows of 35 words."""
+    found = remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best neighbours of every twentieth vector."""
     vectors = (
@@ -75,6 +88,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_url_filter": op2_url_filter,
+    "op3_jaccard_join": op3_jaccard_join,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_top_k": op8_top_k,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
