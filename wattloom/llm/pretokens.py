@@ -3,7 +3,9 @@
 A BPE tokenizer cuts a text into pre-tokens and encodes each by itself, so the ids
 of a pre-token can be kept and used again.  :class:`TextEncoder` does that for
 texts made of Latin characters, for which it knows the library's character
-classes; any other text goes through the library whole.
+classes; any other text goes through the library whole.  No pre-token reaches over
+a space between two words, so a run of characters up to the next space can be kept
+as well, and most texts are looked up word by word without being cut further.
 """
 
 from __future__ import annotations
@@ -33,8 +35,10 @@ LATIN = re.compile("[\t-\r -~¡-ſ]*")
 # Segments longer than this many characters are cut at a space between two words.
 BLOCK_CHARS = 1 << 20
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
-# Pre-tokens kept per Python worker; beyond it the cache starts anew.
-CACHE_LIMIT = 600_000
+# A space next to other white space: a pre-token may begin or end between them.
+_WIDE_SPACE = re.compile(r"[\t-\r] | [\t-\r]|   ")
+# Entries of each cache of a Python worker; beyond it the cache starts anew.
+CACHE_LIMIT = 300_000
 
 
 def _byte_chars() -> dict[int, str]:
@@ -126,7 +130,20 @@ class TextEncoder:
         self._model = self.tokenizer.model
         self._bytes = _byte_chars()
         self._ids = _PieceCache(self.piece_ids)
-        self._lengths = _PieceCache(lambda piece: len(self._ids[piece]) // 4, known_lengths)
+        self._lengths = _PieceCache(self._piece_length, known_lengths)
+        self._word_ids = _PieceCache(
+            lambda word: b"".join(map(self._ids.__getitem__, self._word_pieces(word)))
+        )
+        self._word_lengths = _PieceCache(
+            lambda word: sum(map(self._lengths.__getitem__, self._word_pieces(word)))
+        )
+
+    def _piece_length(self, piece: str) -> int:
+        return len(self.piece_ids(piece)) // 4
+
+    def _word_pieces(self, word: str) -> list[str]:
+        """Pre-tokens of a word that follows a space."""
+        return self._pattern.findall(word if self._lower else " " + word)
 
     def piece_ids(self, piece: str) -> bytes:
         """Ids of one pre-token, not kept."""
@@ -149,8 +166,14 @@ class TextEncoder:
                 start = cut.start()
             yield part[start:] if start else part, False
 
-    def _pieces(self, segment: str) -> list[str]:
-        return self._pattern.findall(segment.lower() if self._lower else segment)
+    def _words(self, segment: str) -> tuple[list[str], list[str]]:
+        """A segment as pre-tokens it begins with, and words after a space each."""
+        if self._lower:
+            return [], segment.lower().split()
+        if _WIDE_SPACE.search(segment):
+            return self._pattern.findall(segment), []
+        first, *words = segment.split(" ")
+        return self._pattern.findall(first), words
 
     def _is_known(self, text: str) -> bool:
         return self._by_piece and LATIN.fullmatch(text) is not None
@@ -160,7 +183,13 @@ class TextEncoder:
         if text and self._is_known(text):
             for segment, special in self._segments(text):
                 if not special:
-                    yield self._pieces(segment)
+                    yield self._pattern.findall(segment.lower() if self._lower else segment)
+
+    def _segment_ids(self, segment: str) -> bytes:
+        pieces, words = self._words(segment)
+        return b"".join(map(self._ids.__getitem__, pieces)) + b"".join(
+            map(self._word_ids.__getitem__, words)
+        )
 
     def ids(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; none for null or empty text."""
@@ -168,23 +197,25 @@ class TextEncoder:
             return b""
         if not self._is_known(text):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        found = self._ids.__getitem__
         return b"".join(
-            array("I", [self._special[segment]]).tobytes()
-            if special
-            else b"".join(map(found, self._pieces(segment)))
+            array("I", [self._special[segment]]).tobytes() if special else self._segment_ids(segment)
             for segment, special in self._segments(text)
         )
 
+    def _segment_length(self, segment: str) -> int:
+        pieces, words = self._words(segment)
+        return sum(map(self._lengths.__getitem__, pieces)) + sum(
+            map(self._word_lengths.__getitem__, words)
+        )
+
     def count(self, text: str | None) -> int:
         """Number of ids."""
         if not text:
             return 0
         if not self._is_known(text):
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        found = self._lengths.__getitem__
         return sum(
-            1 if special else sum(map(found, self._pieces(segment)))
+            1 if special else self._segment_length(segment)
             for segment, special in self._segments(text)
         )
 

@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattloom.llm.decontamination import contaminated
 from wattloom.llm.jaccard_join import near_duplicates
 from wattloom.llm.packing import pack_documents
+from wattloom.llm.secret_scan import KINDS, count_of, find_secrets, written_spans
 from wattloom.llm.substring_dedup import remove_repeats
 from wattloom.llm.token_counts import token_counts
 from wattloom.llm.token_files import read_token_files, write_token_files
@@ -47,6 +49,23 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: counts and positions."""
+    found = find_secrets(_table(spark, sf_dir, "documents"))
+    counts = [count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in KINDS[:3]]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(written_spans(F.col("base")), 256).alias("base_sha256"),
+        written_spans(F.col("spans")).alias("spans"),
+    )
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in documents."""
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents that lie in repeated windows of 35 words."""
     found = remove_repeats(_table(spark, sf_dir, "documents"))
@@ -89,6 +108,8 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_url_filter": op2_url_filter,
     "op3_jaccard_join": op3_jaccard_join,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_decontamination": op6_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_top_k": op8_top_k,
     "op9_packing": op9_packing,
