@@ -1,18 +1,87 @@
-"""Corpus preparation: stages that read documents and pass on what they keep."""
+"""Corpus preparation in five stages, from raw documents to packed sequences.
+
+Each stage works on what its predecessor kept and returns documents of the same
+columns, but for the last, which returns pieces of packed sequences:
+
+1. toxicity: documents predicted toxic go;
+2. near duplicates: of each class of near copies one document stays, the one of least id;
+3. decontamination: documents that hold a benchmark passage go;
+4. secrets: secrets are replaced in the texts, all documents stay;
+5. packing: texts become token sequences.
+
+Rows without an id cannot be named by another table: stages 2 and 3 keep them.  Rows
+that share an id count as one document, of which stage 2 keeps one row.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wattloom.llm.queries import op9_packing  # noqa: F401
+from wattloom.llm import ship
+from wattloom.llm.columns import if_small
+from wattloom.llm.decontamination import contaminated
+from wattloom.llm.jaccard_join import near_duplicates
+from wattloom.llm.packing import pack_documents
+from wattloom.llm.secret_scan import find_secrets, redacted
+from wattloom.llm.toxicity import toxicity_scores
 from wattloom.workspace import materialize
 
-STAGES: list = []
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic; the labels are those of the corpus."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scores = toxicity_scores(docs, labels, carry=tuple(docs.columns))
+    return scores.where("predicted = 0").select("row.*")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each class of near copies."""
+    classes = near_duplicates(docs)
+    first = classes.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = materialize(contaminated(docs, benchmark).select("doc_id").distinct(), "leaks")
+    return docs.join(if_small(found), "doc_id", "left_anti").select(docs.columns)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced and ``n_chars`` counted anew."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    found = find_secrets(docs, carry=("text", *others))
+    text = redacted(F.col("text"), F.col("spans"))
+    found = found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
+    return found.select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 2,048 tokens."""
+    return pack_documents(
+        docs, public_tokenizers.path("word_bpe_49k.json"), size=2048, end_id=1, with_ids=False
+    )
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_copies", near_copies),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("packing", packing),
+]
+
+# Boosted trees and token ids have no SQL; the tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each is stored and read by the next."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)

@@ -1 +1,28 @@
 """Operators for preparing text corpora: counting, filtering, deduplication, search, packing."""
+
+from __future__ import annotations
+
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
+from pyspark.sql import SparkSession
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, if they cannot import it as the driver does.
+
+    A driver that found the package by a changed ``sys.path`` has workers that do not.
+    With ``PYTHONPATH``, ``--py-files`` or an installed package there is nothing to do.
+    """
+    package = Path(__file__).resolve().parents[1]
+    root, app = package.parent, spark.sparkContext.applicationId
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if app in _SHIPPED or not package.is_dir() or root in [Path(p).resolve() for p in known if p]:
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="wattloom-code-"), package.name)
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root, package.name))
+    _SHIPPED.add(app)

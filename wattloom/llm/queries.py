@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattloom.llm import ship
 from wattloom.llm.decontamination import contaminated
 from wattloom.llm.jaccard_join import near_duplicates
 from wattloom.llm.packing import pack_documents
@@ -14,6 +15,7 @@ from wattloom.llm.substring_dedup import remove_repeats
 from wattloom.llm.token_counts import token_counts
 from wattloom.llm.token_files import read_token_files, write_token_files
 from wattloom.llm.topk import is_usable, quantized, top_k
+from wattloom.llm.toxicity import toxicity_scores
 from wattloom.llm.url_filter import Rule, judge_urls
 from wattloom.workspace import new_path
 
@@ -28,6 +30,7 @@ URL_RULES = [
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -49,6 +52,11 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents: counts and positions."""
     found = find_secrets(_table(spark, sf_dir, "documents"))
@@ -108,6 +116,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_url_filter": op2_url_filter,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_toxicity": op4_toxicity,
     "op5_secret_scan": op5_secret_scan,
     "op6_decontamination": op6_decontamination,
     "op7_substring_dedup": op7_substring_dedup,

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattloom.llm.columns import let, running_starts, total
+from wattloom.llm.columns import if_small, let, running_starts, total
 from wattloom.workspace import materialize
 
 # The known forms; group 2 of the first is the secret itself.
@@ -345,8 +345,8 @@ def find_secrets(
     # One row per family.
     taken = runs.join(F.broadcast(_thresholds(runs)), "family").where("bin >= least_bin")
     span = F.struct("start", F.lit(KINDS.index("random")).alias("kind"), "end")
-    added = taken.groupBy("ref").agg(F.collect_list(span).alias("added"))
-    return scanned.join(added, "ref", "left").select(
+    added = materialize(taken.groupBy("ref").agg(F.collect_list(span).alias("added")), "added")
+    return scanned.join(if_small(added), "ref", "left").select(
         "row.*",
         "base",
         F.array_sort(
