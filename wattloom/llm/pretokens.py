@@ -3,9 +3,7 @@
 A BPE tokenizer cuts a text into pre-tokens and encodes each by itself, so the ids
 of a pre-token can be kept and used again.  :class:`TextEncoder` does that for
 texts made of Latin characters, for which it knows the library's character
-classes; any other text goes through the library whole.  No pre-token reaches over
-a space between two words, so a run of characters up to the next space can be kept
-as well, and most texts are looked up word by word without being cut further.
+classes; any other text goes through the library whole.
 """
 
 from __future__ import annotations
@@ -35,10 +33,8 @@ LATIN = re.compile("[\t-\r -~¡-ſ]*")
 # Segments longer than this many characters are cut at a space between two words.
 BLOCK_CHARS = 1 << 20
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
-# A space next to other white space: a pre-token may begin or end between them.
-_WIDE_SPACE = re.compile(r"[\t-\r] | [\t-\r]|   ")
-# Entries of each cache of a Python worker; beyond it the cache starts anew.
-CACHE_LIMIT = 300_000
+# Pre-tokens in a generation of a cache; a Python worker keeps at most two generations.
+CACHE_LIMIT = 200_000
 
 
 def _byte_chars() -> dict[int, str]:
@@ -90,19 +86,27 @@ def _split_pattern(spec: dict) -> tuple[str | None, bool]:
     return None, False
 
 
-class _PieceCache(dict):
-    """Values by pre-token; a missing one is made and kept, up to ``limit`` of them."""
+class _Cache(dict):
+    """Values by string; a missing one is made and kept.
 
-    def __init__(self, make: Callable[[str], object], first: dict | None = None):
-        super().__init__(first or {})
-        self._make, self._first = make, first or {}
-        self.limit = CACHE_LIMIT + len(self._first)
+    When a generation is full it becomes the older one, from which what is asked for
+    again is taken over; ``first`` is in every generation.
+    """
 
-    def __missing__(self, piece: str):
-        if len(self) >= self.limit:
+    def __init__(self, make: Callable[[str], object], limit: int, first: dict | None = None):
+        super().__init__(first or {})
+        self._make, self._first, self._older = make, first or {}, {}
+        self._limit = limit + len(self._first)
+
+    def __missing__(self, key: str):
+        value = self._older.get(key)
+        if value is None:
+            value = self._make(key)
+        if len(self) >= self._limit:
+            self._older = dict(self)
             self.clear()
             self.update(self._first)
-        value = self[piece] = self._make(piece)
+        self[key] = value
         return value
 
 
@@ -129,26 +133,18 @@ class TextEncoder:
         self._special_pattern = re.compile("(" + "|".join(map(re.escape, names)) + ")")
         self._model = self.tokenizer.model
         self._bytes = _byte_chars()
-        self._ids = _PieceCache(self.piece_ids)
-        self._lengths = _PieceCache(self._piece_length, known_lengths)
-        self._word_ids = _PieceCache(
-            lambda word: b"".join(map(self._ids.__getitem__, self._word_pieces(word)))
-        )
-        self._word_lengths = _PieceCache(
-            lambda word: sum(map(self._lengths.__getitem__, self._word_pieces(word)))
-        )
+        self._ids = _Cache(self.piece_ids, CACHE_LIMIT)
+        self._lengths = _Cache(self._piece_length, CACHE_LIMIT, known_lengths)
 
     def _piece_length(self, piece: str) -> int:
-        return len(self.piece_ids(piece)) // 4
+        return len(self._encoded(piece))
 
-    def _word_pieces(self, word: str) -> list[str]:
-        """Pre-tokens of a word that follows a space."""
-        return self._pattern.findall(word if self._lower else " " + word)
+    def _encoded(self, piece: str) -> list:
+        return self._model.tokenize(piece.encode().decode("latin-1").translate(self._bytes))
 
     def piece_ids(self, piece: str) -> bytes:
         """Ids of one pre-token, not kept."""
-        mapped = piece.encode().decode("latin-1").translate(self._bytes)
-        return array("I", [t.id for t in self._model.tokenize(mapped)]).tobytes()
+        return array("I", [t.id for t in self._encoded(piece)]).tobytes()
 
     def _segments(self, text: str) -> Iterator[tuple[str, bool]]:
         """Parts of a text and whether each is a special string; long parts in blocks."""
@@ -166,14 +162,8 @@ class TextEncoder:
                 start = cut.start()
             yield part[start:] if start else part, False
 
-    def _words(self, segment: str) -> tuple[list[str], list[str]]:
-        """A segment as pre-tokens it begins with, and words after a space each."""
-        if self._lower:
-            return [], segment.lower().split()
-        if _WIDE_SPACE.search(segment):
-            return self._pattern.findall(segment), []
-        first, *words = segment.split(" ")
-        return self._pattern.findall(first), words
+    def _pieces(self, segment: str) -> list[str]:
+        return self._pattern.findall(segment.lower() if self._lower else segment)
 
     def _is_known(self, text: str) -> bool:
         return self._by_piece and LATIN.fullmatch(text) is not None
@@ -183,13 +173,7 @@ class TextEncoder:
         if text and self._is_known(text):
             for segment, special in self._segments(text):
                 if not special:
-                    yield self._pattern.findall(segment.lower() if self._lower else segment)
-
-    def _segment_ids(self, segment: str) -> bytes:
-        pieces, words = self._words(segment)
-        return b"".join(map(self._ids.__getitem__, pieces)) + b"".join(
-            map(self._word_ids.__getitem__, words)
-        )
+                    yield self._pieces(segment)
 
     def ids(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; none for null or empty text."""
@@ -197,25 +181,23 @@ class TextEncoder:
             return b""
         if not self._is_known(text):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        found = self._ids.__getitem__
         return b"".join(
-            array("I", [self._special[segment]]).tobytes() if special else self._segment_ids(segment)
+            array("I", [self._special[segment]]).tobytes()
+            if special
+            else b"".join(map(found, self._pieces(segment)))
             for segment, special in self._segments(text)
         )
 
-    def _segment_length(self, segment: str) -> int:
-        pieces, words = self._words(segment)
-        return sum(map(self._lengths.__getitem__, pieces)) + sum(
-            map(self._word_lengths.__getitem__, words)
-        )
-
     def count(self, text: str | None) -> int:
         """Number of ids."""
         if not text:
             return 0
         if not self._is_known(text):
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        found = self._lengths.__getitem__
         return sum(
-            1 if special else self._segment_length(segment)
+            1 if special else sum(map(found, self._pieces(segment)))
             for segment, special in self._segments(text)
         )
 

@@ -44,7 +44,7 @@ ENTRY = np.dtype(
         ("size", "<u8"),
     ]
 )
-LEVEL = 3
+LEVEL = 1
 # The dictionary is fit on at most so many documents of at most so many bytes of text,
 # those with the least hash of id and text.  It changes the size of the files only.
 DICTIONARY_BYTES = 64 * 1024
