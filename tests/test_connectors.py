@@ -1,5 +1,7 @@
 """Connectors whose other side is not available here: only the calls are checked."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql.streaming import DataStreamReader
@@ -8,7 +10,7 @@ from tests.test_clean import reading, table
 from wattloom.sinks.jdbc import jdbc_batch_sink, write_jdbc
 from wattloom.sinks.kafka import write_kafka
 from wattloom.sources.kafka import kafka_options, read_kafka, read_kafka_batch
-from wattloom.workspace import new_path, workspace_root
+from wattloom.workspace import materialize, new_path, scratch, workspace_root
 
 PROPERTIES = {"user": "u", "driver": "d"}
 
@@ -48,7 +50,7 @@ def test_batch_sink_removes_an_earlier_attempt_then_appends(spark, jdbc_calls):
 
 def test_batch_sink_can_leave_the_columns_alone(spark, jdbc_calls):
     df = table(spark, reading())
-    jdbc_batch_sink("jdbc:x", "t", PROPERTIES, batch_column=None)(df, 0)
+    jdbc_batch_sink("jdbc:x", "t", PROPERTIES, batch_column=None, at_least_once=True)(df, 0)
     assert jdbc_calls[1][3] is df
 
 
@@ -58,7 +60,12 @@ def test_batch_sink_raises(spark, monkeypatch):
 
     monkeypatch.setattr(DataFrameWriter, "jdbc", jdbc)
     with pytest.raises(OSError, match="no database"):
-        jdbc_batch_sink("jdbc:x", "t", PROPERTIES)(table(spark, reading()), 0)
+        jdbc_batch_sink("jdbc:x", "t", PROPERTIES, at_least_once=True)(table(spark, reading()), 0)
+
+
+def test_batch_sink_asks_how_to_treat_repeated_batches():
+    with pytest.raises(ValueError, match="delete_batch"):
+        jdbc_batch_sink("jdbc:x", "t", PROPERTIES)
 
 
 def test_kafka_options():
@@ -110,3 +117,15 @@ def test_workspace_without_configuration():
     assert "wattloom-" in workspace_root(_Session("local[2]"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         workspace_root(_Session("yarn"))
+
+
+def test_scratch_removes_what_was_stored_inside(spark):
+    root = Path(workspace_root(spark))
+    kept = materialize(spark.range(3), "kept")
+    before = {p.name for p in root.iterdir()}
+    with scratch(spark):
+        with scratch(spark):
+            assert materialize(spark.range(5), "inner").count() == 5
+        outer = materialize(spark.range(7), "outer")
+        assert outer.count() == 7 and {p.name for p in root.iterdir()} > before
+    assert {p.name for p in root.iterdir()} == before and kept.count() == 3

@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
@@ -139,3 +140,28 @@ def test_train_job_keeps_everything(spark, data, tmp_path):
     assert stored.exceptAll(trained.predictions).count() == 0
     again = predictions_table(load_model(model_path), data)
     assert trained.predictions.exceptAll(again).count() == 0
+
+
+def test_same_rows_give_the_same_forest_from_any_layout(spark, data):
+    fits = [
+        train_power_model(data.repartition(n), num_trees=4, max_depth=5, partitions=6)
+        for n in (1, 7)
+    ]
+    one, two = (
+        sorted(tuple(r) for r in predictions_table(m, data).select("SOURCE_KEY", "PREDICTED_POWER").collect())
+        for m in fits
+    )
+    assert one == two
+
+
+def test_partitions_are_those_of_the_model_not_of_the_session(spark, data):
+    plan = []
+    original = Pipeline.fit
+    try:
+        Pipeline.fit = lambda self, df: plan.append(df) or (_ for _ in ()).throw(InterruptedError)
+        with pytest.raises(InterruptedError):
+            train_power_model(data, partitions=5, row_id=["DATE_TIME"])
+    finally:
+        Pipeline.fit = original
+    text = plan[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in text and ", 5" in text

@@ -5,6 +5,13 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from wattloom.functions import order_stats
+from wattloom.operators.profile import iqr_bounds
+from wattloom.workspace import materialize
 from wattloom.functions.order_stats import (
     approximate_quantiles,
     column_ranges,
@@ -92,3 +99,40 @@ def test_approximate_quantiles_stay_within_their_error(spark):
     got = approximate_quantiles(df, ["x"], [0.25, 0.75], accuracy=1000)
     assert abs(got[("x", 0.25)] - 2500) <= 11
     assert abs(got[("x", 0.75)] - 7500) <= 11
+
+
+def test_wide_whole_numbers(spark):
+    values = [-2_000_000_000 + 40_000 * i for i in range(100_001)]
+    df = spark.createDataFrame([(v,) for v in values], "x int")
+    got = exact_quantiles(df, ["x"], [0.25, 0.5], candidate_limit=100)
+    assert got == {("x", 0.25): -1_000_000_000.0, ("x", 0.5): 0.0}
+
+
+@pytest.mark.parametrize("n", [100, 101])
+def test_decimals(spark, n):
+    df = spark.createDataFrame([(Decimal(i) / 4,) for i in range(n)], "x decimal(12,2)")
+    got = exact_quantiles(df, ["x"], [0.25], candidate_limit=10)
+    assert got[("x", 0.25)] == pytest.approx((n - 1) / 16)
+    low, high = iqr_bounds(df, ["x"])["x"]
+    assert low < 0 < high
+
+
+def test_few_passes_over_many_orders_of_magnitude(spark, monkeypatch):
+    passes = []
+    for name in ("_zoom_all", "_pick_all"):
+        original = getattr(order_stats, name)
+        monkeypatch.setattr(
+            order_stats, name, lambda v, s, o=original, n=name: (passes.append(n), o(v, s))[1]
+        )
+    df = spark.range(20_000).select(F.pow(F.lit(10.0), F.col("id") / 20_000 * 600 - 300).alias("x"))
+    got = exact_quantiles(df, ["x"], [0.5], candidate_limit=100)
+    assert got[("x", 0.5)] == pytest.approx(10 ** (-0.015), rel=0.1)
+    assert len(passes) <= 4
+
+
+def test_later_passes_skip_rows_in_the_scan(spark):
+    df = materialize(spark.range(1000).select(F.col("id").cast("double").alias("x")), "numbers")
+    tagged = order_stats._tagged(df, [("x", 10.0, 20.0, False)], lambda i: [])
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "GreaterThanOrEqual(x,10.0)" in plan
+    assert tagged.count() == 11

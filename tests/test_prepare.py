@@ -89,7 +89,7 @@ def test_master_can_keep_the_original_time(tables):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_of_hot_and_missing_keys(spark, how):
+def test_shuffled_join_of_hot_and_missing_keys(spark, how):
     n = 3000
     facts = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot"))
@@ -102,10 +102,28 @@ def test_salted_join_of_hot_and_missing_keys(spark, how):
         [("hot", 1.0)] + [(f"k{i}", float(i)) for i in range(0, n, 2)], "key string, v double"
     )
     plain = facts.join(lookup, "key", how).select("key", "id", "v")
-    salted = lookup_join(facts, lookup, ["key"], how, broadcast_bytes=0, salts=8)
-    assert rows(salted.select("key", "id", "v")) == rows(plain)
-    plan = salted._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "_salt" in plan
+    shuffled = lookup_join(facts, lookup, ["key"], how, broadcast_bytes=0, hot_share=0.1)
+    assert rows(shuffled.select("key", "id", "v")) == rows(plain)
+    plan = shuffled._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
+
+
+def test_equal_rows_do_not_meet_in_one_task(spark):
+    """Only a key column, half of it one key and a quarter missing."""
+    n = 40_000
+    i = F.col("id")
+    facts = spark.range(n).select(
+        F.when(i % 2 == 0, F.lit("hot")).when(i % 4 == 1, F.lit(None)).otherwise(i.cast("string")).alias("key")
+    )
+    lookup = facts.dropna().distinct().withColumn("v", F.length("key"))
+    joined = lookup_join(facts, lookup, ["key"], "left", broadcast_bytes=0)
+    sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == n
+    assert joined.where("v IS NULL").count() == n // 4
+    shuffled = [line for line in str(joined._jdf.queryExecution().executedPlan()).split("\n") if "hashpartitioning(key" in line]
+    assert shuffled
+    # The shuffled branch holds neither the hot nor the missing keys.
+    assert max(r["count"] for r in sizes) <= n // 2
 
 
 def test_small_lookup_is_broadcast_and_facts_do_not_move(spark):

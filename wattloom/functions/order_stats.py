@@ -2,12 +2,14 @@
 
 ``percentile`` keeps every distinct value of a column in one reducer.  Here each
 wanted rank is searched by histogram instead.  One pass counts the rows of the
-interval that holds the rank in ``BUCKETS`` equal-width buckets and keeps each
-bucket's least and greatest value; the bucket with the rank becomes the next
-interval.  When an interval has one value, or at most ``candidate_limit`` rows,
-the search ends.  All ranks of all columns share the passes.  Counting combines
-map-side and its result is spread over the reducers; the driver sees one small
-histogram per interval.
+interval that holds the rank in ``BUCKETS`` buckets and keeps each bucket's least
+and greatest value; the bucket with the rank becomes the next interval.  Buckets
+are of equal width; if a pass leaves most rows in one of them, the next pass takes
+buckets of equal ratio, which spread values over many orders of magnitude.  When an
+interval has one value, or at most ``candidate_limit`` rows, the search ends.  All
+ranks of all columns share the passes, and later passes skip rows outside all
+intervals, and row groups too.  Counting combines map-side and its result is spread
+over the reducers; the driver sees one small histogram per interval.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -25,6 +29,8 @@ from wattloom.functions.missing import present
 CANDIDATE_LIMIT = 65_536
 BUCKETS = 4096
 SKETCH_ACCURACY = 10_000
+# A pass that leaves more than this fraction of the rows calls for other buckets.
+POOR_ZOOM = 64
 
 _LARGEST = 1.7976931348623157e308
 
@@ -50,10 +56,11 @@ class _Search:
     high: object
     inside: int
     below: int = 0
+    by_ratio: bool = False
 
     @property
     def interval(self) -> tuple:
-        return (self.column, self.low, self.high)
+        return (self.column, self.low, self.high, self.by_ratio)
 
     @property
     def found(self) -> bool:
@@ -64,6 +71,7 @@ class _Search:
         for bucket in histogram:
             if self.rank < self.below + bucket["rows"]:
                 self.low, self.high = bucket["least"], bucket["greatest"]
+                self.by_ratio = bucket["rows"] * POOR_ZOOM > self.inside and not self.by_ratio
                 self.inside = bucket["rows"]
                 return
             self.below += bucket["rows"]
@@ -71,16 +79,35 @@ class _Search:
 
 
 def _inside(interval: tuple) -> Column:
-    column, low, high = interval
+    column, low, high, _ = interval
     return F.col(column).between(F.lit(low), F.lit(high))
 
 
+def _magnitude(value: Column) -> Column:
+    """A number that never decreases with the value and grows with its logarithm."""
+    # The least positive double has a logarithm above -745.
+    size = F.log(F.least(F.abs(value), F.lit(_LARGEST))) + F.lit(746.0)
+    return F.when(value == 0, F.lit(0.0)).otherwise(F.signum(value) * size)
+
+
+def _magnitude_of(value: float) -> float:
+    if value == 0:
+        return 0.0
+    return math.copysign(math.log(min(abs(value), _LARGEST)) + 746.0, value)
+
+
 def _bucket(interval: tuple) -> Column:
-    """Bucket number: never decreases with the value, 0 at ``low``, BUCKETS at ``high``."""
-    column, low, high = interval
+    """Bucket number: never decreases with the value, lies within -1 and BUCKETS + 1."""
+    column, low, high, by_ratio = interval
     value = F.col(column)
+    if by_ratio:
+        floor, top = _magnitude_of(float(low)), _magnitude_of(float(high))
+        if top > floor:
+            share = (_magnitude(value.cast("double")) - F.lit(floor)) / F.lit(top - floor) * BUCKETS
+            share = F.greatest(F.least(share, F.lit(BUCKETS + 1.0)), F.lit(-1.0))
+            return F.floor(share).cast("int")
     if isinstance(low, int) and high - low < 2**62:
-        offset, width = (value - F.lit(low)).cast("double"), float(high - low)
+        offset, width = (value.cast("bigint") - F.lit(low).cast("bigint")).cast("double"), float(high - low)
         return F.floor(offset / F.lit(width) * BUCKETS).cast("int")
     floor, top = max(float(low), -_LARGEST), min(float(high), _LARGEST)
     scale = 1.0 if math.isfinite(top - floor) else 0.5
@@ -101,7 +128,9 @@ def _tagged(values: DataFrame, intervals: Sequence[tuple], extra) -> DataFrame:
         )
         for i, interval in enumerate(intervals)
     ]
-    return values.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL").select("e.*")
+    # The plain test on the columns reaches the scan, which then skips row groups.
+    near = values.where(reduce(lambda a, b: a | b, map(_inside, intervals)))
+    return near.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL").select("e.*")
 
 
 def _by_type(values: DataFrame, searches: Sequence[_Search]) -> list[list[_Search]]:
@@ -190,7 +219,8 @@ def select_ranks(
     ``ranges`` comes from :func:`column_ranges`; ranks must be below its counts.
     Columns are numeric.
     """
-    values = df.select([present(df, c).alias(c) for c in ranks])
+    # NaN is greater than any number and so in no interval.
+    values = df.select(*ranks)
     searches = []
     for column, wanted in ranks.items():
         rows, low, high = ranges[column]
@@ -227,8 +257,10 @@ def exact_quantiles(
                 result[(c, p)] = None
                 continue
             share = at - math.floor(at)
-            low = found[(c, math.floor(at))].value
-            high = found[(c, math.ceil(at))].value
+            low, high = (
+                float(v) if isinstance(v, Decimal) else v
+                for v in (found[(c, math.floor(at))].value, found[(c, math.ceil(at))].value)
+            )
             result[(c, p)] = low if low == high else low * (1.0 - share) + high * share
     return result
 

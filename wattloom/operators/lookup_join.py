@@ -16,7 +16,6 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is hot when it holds more than this share of the facts, so there are
 # never more than 1 / HOT_SHARE of them.
 HOT_SHARE = 0.001
-SALTS = 64
 
 
 def table_bytes(df: DataFrame) -> int:
@@ -48,34 +47,33 @@ def lookup_join(
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
-    salts: int = SALTS,
+    lookup_stored: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` on ``keys``; ``how`` is ``inner`` or ``left``.
 
-    The lookup is stored once and measured.  A small one is broadcast and the
-    facts never move.  A large one is shuffled; since it comes out of its own
-    aggregation, adaptive skew handling does not apply to that join, so rows of hot
-    keys are spread over ``salts`` buckets by a hash of the row, and only the hot
-    keys' lookup rows are repeated per bucket.  Rows with a missing key match nothing
-    and are spread the same way.
+    The lookup is stored once (unless ``lookup_stored`` says it is cheap to read) and
+    measured.  A small one is broadcast and the facts never move.  Beyond that the facts
+    are stored, since they are read several times, and their rows part ways: those of
+    hot keys meet the few lookup rows of these keys by broadcast, those with a missing key
+    match nothing and do not move either, and only the others are shuffled.  No key among
+    them is hot, and adaptive execution splits what is still uneven.
     """
     keys = list(keys)
-    stored = materialize(lookup, "lookup")
+    stored = lookup if lookup_stored else materialize(lookup, "lookup")
     if table_bytes(stored) <= broadcast_bytes:
         return facts.join(F.broadcast(stored), keys, how)
 
-    salt = "_salt"
-    # Bounded by 1 / hot_share rows.
-    hot = F.broadcast(hot_keys(facts, keys, hot_share).withColumn("_hot", F.lit(True)))
-    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
-    no_match = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    salted_facts = (
-        facts.join(hot, keys, "left")
-        .withColumn(salt, F.when(F.col("_hot") | no_match, row_hash).otherwise(F.lit(0)))
-        .drop("_hot")
+    facts = materialize(facts, "facts")
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    keyed = facts.where(~no_key)
+    # Bounded by 1 / hot_share rows, and as many of the lookup, which has one row per key.
+    hot = materialize(hot_keys(keyed, keys, hot_share), "hot")
+    hot_lookup = stored.join(F.broadcast(hot), keys, "left_semi")
+    joined = (
+        keyed.join(F.broadcast(hot), keys, "left_semi").join(F.broadcast(hot_lookup), keys, how)
+    ).unionByName(
+        keyed.join(F.broadcast(hot), keys, "left_anti").join(stored.hint("merge"), keys, how)
     )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    salted_lookup = stored.join(hot, keys, "left").withColumn(salt, F.explode(copies)).drop("_hot")
-    return salted_facts.join(salted_lookup.hint("merge"), [*keys, salt], how).drop(salt)
+    if how == "left":
+        joined = joined.unionByName(facts.where(no_key), allowMissingColumns=True)
+    return joined

@@ -18,6 +18,8 @@ from wattloom.schema import FEATURES, TARGET
 from wattloom.workspace import ensure_checkpoint_dir
 
 PREDICTION = "PREDICTED_POWER"
+# Part of the model's definition, like its seed: changing it changes the trees.
+TRAINING_PARTITIONS = 32
 
 
 def train_power_model(
@@ -27,11 +29,16 @@ def train_power_model(
     num_trees: int = 100,
     max_depth: int = 15,
     seed: int = 42,
+    partitions: int = TRAINING_PARTITIONS,
+    row_id: Sequence[str] = (),
     **forest_options,
 ) -> PipelineModel:
     """Fit the forest on complete rows; every split considers all features.
 
-    Node ids are cached and checkpointed so that deep trees neither ship to all
+    Trees draw their rows partition by partition, so the rows are dealt to ``partitions``
+    partitions by a hash of ``row_id`` (by default of all they hold) and sorted there:
+    the same rows give the same forest on any number of cores and from any layout.
+    Give ``row_id`` and more partitions for large tables.  Node ids are cached and checkpointed so that deep trees neither ship to all
     executors at each level nor restart from scratch when one is lost.
     """
     ensure_checkpoint_dir(df.sparkSession)
@@ -42,8 +49,16 @@ def train_power_model(
         "maxMemoryInMB": 512,
         **forest_options,
     }
-    needed = df.select(*features, F.col(target).cast("double").alias(target))
-    complete = complete_rows(needed, needed.columns)
+    needed = [*features, target]
+    ids = [c for c in row_id if c not in needed]
+    typed = df.select(*features, F.col(target).cast("double").alias(target), *ids)
+    order = [*(row_id or ()), *(c for c in needed if c not in row_id)]
+    complete = (
+        complete_rows(typed, needed)
+        .repartition(partitions, F.xxhash64(*(row_id or needed)))
+        .sortWithinPartitions(*order)
+        .select(needed)
+    )
     forest = RandomForestRegressor(
         featuresCol="_features",
         labelCol=target,
@@ -53,13 +68,7 @@ def train_power_model(
         seed=seed,
         **options,
     )
-    return Pipeline(stages=[_assembler(features), forest]).fit(_spread(complete))
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """Use every core when the source has fewer splits than cores (one small file)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return Pipeline(stages=[_assembler(features), forest]).fit(complete)
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:

@@ -103,4 +103,6 @@ def label_encode(
     """
     output = output or f"{column}_ENCODED"
     codes = label_codes(df, column, output)
-    return lookup_join(df, codes, [column], how="left", broadcast_bytes=broadcast_bytes)
+    return lookup_join(
+        df, codes, [column], how="left", broadcast_bytes=broadcast_bytes, lookup_stored=True
+    )

@@ -41,9 +41,11 @@ def train_job(
 ) -> Training:
     """Split by time, fit on the earlier part, score the later one once, save both.
 
+    The features are stored first, because split, fit and scoring each read them.
     ``predictions_path`` takes the test predictions as CSV.  They are stored before
     anything reads them, so the test rows pass the forest a single time.
     """
+    features = materialize(features, "features")
     train, test = time_split(
         features, "DATE_TIME", tie_columns, fraction, complete=[*FEATURES, TARGET]
     )

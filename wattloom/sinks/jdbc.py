@@ -21,13 +21,17 @@ def jdbc_batch_sink(
     properties: Mapping[str, str],
     delete_batch: Callable[[int], None] | None = None,
     batch_column: str | None = "BATCH_ID",
+    at_least_once: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` callback that appends each micro-batch to a JDBC table.
 
     Spark repeats a micro-batch after a failure, so rows carry their batch id and
-    ``delete_batch`` removes what an earlier attempt left behind.  A failed write
+    ``delete_batch`` must remove what an earlier attempt left behind.  A caller who can
+    live with rows that come twice says ``at_least_once=True`` instead.  A failed write
     raises, which stops the query before the batch is committed; nothing is lost.
     """
+    if delete_batch is None and not at_least_once:
+        raise ValueError("give delete_batch, or accept repeated rows with at_least_once=True")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if delete_batch is not None:

@@ -14,6 +14,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+# Paths given out inside each open scratch block, innermost last.
+_SCRATCH: list[list[str]] = []
 
 
 def workspace_root(spark: SparkSession) -> str:
@@ -31,8 +33,33 @@ def workspace_root(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unused path below the shared folder."""
-    return f"{workspace_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh, unused path below the shared folder; an open scratch block removes it."""
+    path = f"{workspace_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's file system, wherever it is."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Remove what is stored inside the block when it ends.
+
+    Operators store intermediate tables and return plans that read them, so results
+    must be written to a place of the caller's (or collected) before the block ends.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            remove(spark, path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
