@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import types as T
 
 from tests.test_clean import NAN, reading, table
-from wattloom.schema import GENERATION_SCHEMA, MISSING_TOKENS, READING_SCHEMA
+from wattloom.plans.offline import master_table, rejected_times
+from wattloom.schema import GENERATION_SCHEMA, MISSING_TOKENS, READING_SCHEMA, WEATHER_SCHEMA
 from wattloom.sinks.files import write_csv
-from wattloom.sources.files import read_archive, read_csv, register_view
+from wattloom.sources.files import csv_rejects, read_archive, read_csv, register_view
 
 SCHEMA = T.StructType(
     [
@@ -77,3 +78,34 @@ def test_raw_layout(spark, tmp_path):
     path = write(tmp_path / "g.csv", f"{header}\n15-05-2020 00:00,4135001,k,0.0,0.0,0.0,6259559.0\n")
     row = read_csv(spark, path, GENERATION_SCHEMA).first()
     assert row["PLANT_ID"] == 4135001 and row["TOTAL_YIELD"] == 6259559.0
+
+
+def test_whole_numbers_with_a_fraction_of_zeros(spark, tmp_path):
+    path = write(tmp_path / "w.csv", "N,X,S\n4135001.0,1,a\n7.,2,b\n7.5,3,c\n-3.00,4,d\n")
+    assert [r["N"] for r in read_csv(spark, path, SCHEMA).collect()] == [4135001, 7, None, -3]
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    rows = [(1, 2.5, "two\nlines"), (2, 1.0, 'a\r\n"b", c')]
+    path = str(tmp_path / "out")
+    write_csv(spark.createDataFrame(rows, SCHEMA).coalesce(1), path)
+    assert sorted(tuple(r) for r in read_csv(spark, path, SCHEMA, line_breaks=True).collect()) == rows
+
+
+def test_rejects_name_every_lost_field(spark, tmp_path):
+    path = write(tmp_path / "r.csv", "N,X,S\nx,2.5,ok\n1,NA,ok\n2,y,ok\n3,1.0\n4,1.0,a,b\n5,2.0,z\n")
+    got = [(r["COLUMN_NAME"], r["TEXT"], r["REASON"]) for r in csv_rejects(spark, path, SCHEMA).collect()]
+    assert got[:2] == [("N", "x", "no int"), ("X", "y", "no double")]
+    assert [r[2] for r in got[2:]] == ["wrong number of fields"] * 2
+
+
+def test_master_table_raises_on_unreadable_times_and_lists_them(spark):
+    generation = spark.createDataFrame(
+        [(t, 1, "a", 1.0, 1.0, 1.0, 1.0) for t in ("15.05.2020 00:15", "soon", None)], GENERATION_SCHEMA
+    )
+    weather = spark.createDataFrame([("05/15/2020 12:30 AM", 1, "w", 1.0, 2.0, 3.0)], WEATHER_SCHEMA)
+    with pytest.raises(Exception, match="unreadable timestamp: soon"):
+        master_table(generation, weather).collect()
+    assert master_table(generation, weather, errors="null").count() == 1
+    rejects = rejected_times(generation).select("TEXT", "REASON").collect()
+    assert sorted(map(tuple, rejects), key=str) == [("soon", "unreadable"), (None, "missing")]

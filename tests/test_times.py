@@ -32,6 +32,16 @@ def one(spark, value, expression):
         ("01-06-2020 10:00", datetime(2020, 1, 6, 10), datetime(2020, 6, 1, 10)),
         ("1/6/2020 7:05", datetime(2020, 1, 6, 7, 5), datetime(2020, 6, 1, 7, 5)),
         (" 31/12/2020 ", datetime(2020, 12, 31), None),
+        ("2020/05/15 00:15", datetime(2020, 5, 15, 0, 15), None),
+        ("20200515", datetime(2020, 5, 15), None),
+        ("20200515 13:45:10", datetime(2020, 5, 15, 13, 45, 10), None),
+        ("15-May-2020 00:00", datetime(2020, 5, 15), None),
+        ("3 aug 2020", datetime(2020, 8, 3), None),
+        ("Aug 3, 2020 1:05 pm", datetime(2020, 8, 3, 13, 5), None),
+        ("05/15/2020 1:30 PM", datetime(2020, 5, 15, 13, 30), None),
+        ("12/31/2020 12:00:07 AM", datetime(2020, 12, 31, 0, 0, 7), None),
+        ("15.05.2020 00:15", datetime(2020, 5, 15, 0, 15), None),
+        ("05.06.2020 07:15", datetime(2020, 5, 6, 7, 15), datetime(2020, 6, 5, 7, 15)),
     ],
 )
 def test_mixed_formats(spark, text, month_first, day_first):

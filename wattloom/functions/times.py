@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,29 +13,28 @@ from wattloom.schema import EVENT_TIME_FORMAT
 
 # Year first: whatever Spark itself reads, with or without time, fraction and zone.
 ISO = "ISO"
-MONTH_FIRST_FORMATS = [
-    "M-d-yyyy H:m:s",
-    "M-d-yyyy H:m",
-    "M-d-yyyy",
-    "M/d/yyyy H:m:s",
-    "M/d/yyyy H:m",
-    "M/d/yyyy",
-]
-DAY_FIRST_FORMATS = [
-    "d-M-yyyy H:m:s",
-    "d-M-yyyy H:m",
-    "d-M-yyyy",
-    "d/M/yyyy H:m:s",
-    "d/M/yyyy H:m",
-    "d/M/yyyy",
-]
-
-MIXED_FORMATS = [ISO, *MONTH_FIRST_FORMATS, *DAY_FIRST_FORMATS]
-MIXED_FORMATS_DAY_FIRST = [ISO, *DAY_FIRST_FORMATS, *MONTH_FIRST_FORMATS]
+
+
+class Dated(str):
+    """A date format; no time follows it, or one on the 24- or 12-hour clock."""
+
+
+CLOCK_24, CLOCK_12 = "[ H:m[:s]]", " h:m[:s] a"
+
+# No two of these can read the same text differently.
+PLAIN_FORMATS = [Dated(f) for f in ("yyyy/M/d", "yyyyMMdd", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy")]
+MONTH_FIRST_FORMATS = [Dated(f) for f in ("M-d-yyyy", "M/d/yyyy", "M.d.yyyy")]
+DAY_FIRST_FORMATS = [Dated(f) for f in ("d-M-yyyy", "d/M/yyyy", "d.M.yyyy")]
+
+MIXED_FORMATS = [ISO, *MONTH_FIRST_FORMATS, *DAY_FIRST_FORMATS, *PLAIN_FORMATS]
+MIXED_FORMATS_DAY_FIRST = [ISO, *DAY_FIRST_FORMATS, *MONTH_FIRST_FORMATS, *PLAIN_FORMATS]
 
 # What each format letter can match; a single letter takes one or two digits.
 _LETTERS = {
     "yyyy": r"\d{4}",
+    "MMM": r"(?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)",
+    "a": r"(?i:am|pm)",
+    "h": r"(0?[1-9]|1[0-2])",
     "MM": r"(0[1-9]|1[0-2])",
     "M": r"(0?[1-9]|1[0-2])",
     "dd": r"(0[1-9]|[12]\d|3[01])",
@@ -59,8 +59,6 @@ def parse_event_time(c: Column | str, fmt: str = EVENT_TIME_FORMAT) -> Column:
 
 def _shape(fmt: str) -> str | None:
     """Regular expression for text the format may accept; None if that is not known."""
-    if "[" in fmt:
-        return None
     parts = []
     for match in re.finditer(r"'([^']*)'|(([A-Za-z])\3*)|([^A-Za-z'])", fmt):
         quoted, letters, _, other = match.groups()
@@ -68,19 +66,39 @@ def _shape(fmt: str) -> str | None:
             if letters not in _LETTERS:
                 return None
             parts.append(_LETTERS[letters])
+        elif other in ("[", "]"):
+            parts.append("(?:" if other == "[" else ")?")
         else:
             parts.append(re.escape(quoted if quoted is not None else other))
     return "^" + "".join(parts) + "$"
 
 
-def _try_format(text: Column, fmt: str) -> Column:
-    if fmt == ISO:
-        # A bare time of day would be read as today's.
-        return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), F.try_to_timestamp(text))
-    parsed = F.try_to_timestamp(text, F.lit(fmt))
-    shape = _shape(fmt)
-    # A failed parse costs an exception per row; the shape test is far cheaper.
-    return parsed if shape is None else F.when(text.rlike(shape), parsed)
+def _dated_shape(fmt: str) -> str:
+    date, late, early = (_shape(f)[1:-1] for f in (fmt, CLOCK_24, CLOCK_12))
+    return f"^{date}({late}|{early})$"
+
+
+def _tries(text: Column, formats: Sequence[str]) -> list[Column]:
+    """One parse for each run of formats of known shape, and one for any other format.
+
+    The shape of the text says which format of a run can read it.  A failed parse costs an
+    exception per row; the shape tests are far cheaper.
+    """
+    tries: list[Column] = []
+    for dated, run in groupby(formats, lambda f: isinstance(f, Dated)):
+        if dated:
+            date = F.coalesce(*[F.when(text.rlike(_dated_shape(f)), F.lit(str(f))) for f in run])
+            clock = F.when(text.rlike("(?i)[ap]m$"), F.lit(CLOCK_12)).otherwise(F.lit(CLOCK_24))
+            tries.append(F.try_to_timestamp(text, F.concat(date, clock)))
+            continue
+        for fmt in run:
+            if fmt == ISO:
+                # A bare time of day would be read as today's.
+                shape, parsed = r"^\d{4}-\d{1,2}-\d{1,2}", F.try_to_timestamp(text)
+            else:
+                shape, parsed = _shape(fmt), F.try_to_timestamp(text, F.lit(fmt))
+            tries.append(parsed if shape is None else F.when(text.rlike(shape), parsed))
+    return tries
 
 
 def parse_mixed_timestamp(
@@ -94,16 +112,21 @@ def parse_mixed_timestamp(
     tried in order, so the default reads an ambiguous ``01-06-2020`` as January 6 and
     takes day-first only where month-first is impossible.  Pass
     ``MIXED_FORMATS_DAY_FIRST`` for day-first data.  ``errors="raise"`` fails the
-    query on text no format matches.
+    query on text no format matches; :func:`unreadable` finds such rows.
     """
     text = F.trim(_col(c))
-    parsed = F.coalesce(*[_try_format(text, fmt) for fmt in formats])
+    parsed = F.coalesce(*_tries(text, formats))
     if errors == "null":
         return parsed
     if errors != "raise":
         raise ValueError("errors must be 'null' or 'raise'")
     failure = F.raise_error(F.concat(F.lit("unreadable timestamp: "), text)).cast("timestamp")
-    return F.when(parsed.isNull() & text.isNotNull(), failure).otherwise(parsed)
+    return F.coalesce(parsed, F.when(text.isNotNull(), failure))
+
+
+def unreadable(c: Column | str, formats: Sequence[str] = MIXED_FORMATS) -> Column:
+    """True for text that no format reads; a missing text is not unreadable."""
+    return _col(c).isNotNull() & parse_mixed_timestamp(c, formats).isNull()
 
 
 def floor_hour(c: Column | str) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattloom.functions.missing import present
+from wattloom.functions.missing import complete_rows, present
 from wattloom.functions.times import parse_mixed_timestamp
 from wattloom.operators.clean import (
     clean_readings,
@@ -51,7 +51,7 @@ from wattloom.operators.profile import (
 from wattloom.operators.reports import REPORTS
 from wattloom.operators.split import time_split
 from wattloom.plans import jobs
-from wattloom.plans.offline import feature_table, master_table
+from wattloom.plans.offline import feature_table, master_table, rejected_times
 from wattloom.plans.telemetry import (
     as_records,
     encoded,
@@ -67,10 +67,14 @@ from wattloom.schema import (
     FEATURES,
     GENERATION_SCHEMA,
     READING_SCHEMA,
+    SCORED_SCHEMA,
     SENSOR_COLUMNS,
+    STATISTICS,
     TARGET,
     WEATHER_MEASURES,
     WEATHER_SCHEMA,
+    totals_schema,
+    window_schema,
 )
 from wattloom.sinks.files import write_csv
 from wattloom.sources.files import read_archive, read_csv, register_view, stream_files
@@ -86,7 +90,6 @@ AVAILABLE_NOW = {"availableNow": True}
 # Window and total states hold a few rows per window whatever the input size.
 STATE_PARTITIONS = 8
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-STATISTICS = ["AVG_POWER", "MAX_POWER", "MIN_POWER", "AVG_IRRADIATION"]
 # Small enough that the narrowing rounds run on every scale of the test tables.
 NARROW_LIMIT = 20
 SMALL_FOREST = {"num_trees": 10, "max_depth": 5}
@@ -304,24 +307,67 @@ def _label_encode_shuffled(spark, sf_dir):
     return label_encode(view, "SOURCE_KEY", broadcast_bytes=0)
 
 
+@query("label_encode_equal_rows")
+def _label_encode_equal_rows(spark, sf_dir):
+    """Rows of the key alone: half of them one key, a quarter without one."""
+    at = F.col("event_id") % 4
+    key = F.when(at < 2, F.lit("hot")).when(at == 3, F.col("SOURCE_KEY"))
+    keys = _view(spark, sf_dir).select(key.alias("KEY"))
+    return label_encode(keys, "KEY", broadcast_bytes=0)
+
+
 @query("label_encode_brand")
 def _label_encode_brand(spark, sf_dir):
     return label_encode(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), "p_brand")
 
 
-@query("offline_features")
-def _offline_features(spark, sf_dir):
-    view = _view(spark, sf_dir)
+def _plant_files(view: DataFrame) -> tuple[DataFrame, DataFrame]:
     generation = view.where(F.col("event_type").isin("view", "click", "purchase")).select(
         *GENERATION_SCHEMA.fieldNames()
     )
     weather = view.where(F.col("event_type").isin("signup", "error")).select(
         *WEATHER_SCHEMA.fieldNames()
     )
-    features = feature_table(master_table(generation, weather), F.col("AC_POWER") / 10.0)
+    return generation, weather
+
+
+@query("offline_features")
+def _offline_features(spark, sf_dir):
+    master = master_table(*_plant_files(_view(spark, sf_dir)))
+    features = feature_table(master, F.col("AC_POWER") / 10.0)
     return _zoneless(_six(features, *WEATHER_MEASURES))
 
 
+# Shapes of a time in raw files; the last is readable only where the day is no month.
+TIME_SHAPES = [
+    "yyyy-MM-dd HH:mm:ss",
+    "yyyy/MM/dd HH:mm",
+    "yyyyMMdd HH:mm",
+    "dd-MMM-yyyy HH:mm",
+    "MM/dd/yyyy hh:mm a",
+    "MM.dd.yyyy HH:mm",
+    "MM-dd-yyyy HH:mm:ss",
+    "dd.MM.yyyy HH:mm",
+]
+
+
+@query("offline_features_mixed")
+def _offline_features_mixed(spark, sf_dir):
+    """The same features from times written in every shape."""
+    view, t = _view(spark, sf_dir), F.col("ts")
+    at = F.when(F.dayofmonth(t) > 12, F.col("event_id") % 8).otherwise(F.col("event_id") % 7)
+    text = F.coalesce(*[F.when(at == i, F.date_format(t, s)) for i, s in enumerate(TIME_SHAPES)])
+    master = master_table(*_plant_files(view.withColumn("DATE_TIME", text)))
+    features = feature_table(master, F.col("AC_POWER") / 10.0)
+    return _zoneless(_six(features, *WEATHER_MEASURES))
+
+
+@query("rejected_rows")
+def _rejected_rows(spark, sf_dir):
+    rejects = rejected_times(readings(_faulty(spark, sf_dir)))
+    return rejects.groupBy("COLUMN_NAME", "TEXT", "REASON").agg(F.count("*").alias("ROWS_REJECTED"))
+
+
 # --- profile ---
 
 
@@ -404,13 +450,6 @@ def _closed_stats(stored: DataFrame) -> DataFrame:
     return _zoneless(_six(stored.drop(BATCH_ID), *STATISTICS))
 
 
-def _stats_schema(count_name: str = "TOTAL_RECORDS", windowed: bool = True) -> T.StructType:
-    bounds = [T.StructField(n, T.TimestampType()) for n in ("WINDOW_START", "WINDOW_END")]
-    fields = [T.StructField(count_name, T.LongType())]
-    fields += [T.StructField(n, T.DoubleType()) for n in STATISTICS]
-    return T.StructType([*(bounds if windowed else []), *fields])
-
-
 @query("window_batch")
 def _window_batch(spark, sf_dir):
     records = as_records(_faulty(spark, sf_dir))
@@ -433,7 +472,7 @@ def _stream_windows(spark, sf_dir, size: str, count_name: str) -> DataFrame:
                 trigger=AVAILABLE_NOW,
             )
         )
-    return _closed_stats(read_batches(spark, out, _stats_schema(count_name)))
+    return _closed_stats(read_batches(spark, out, window_schema(count_name)))
 
 
 @query("stream_window_clean")
@@ -475,7 +514,7 @@ def _stream_late_data(spark, sf_dir):
                     trigger=AVAILABLE_NOW,
                 )
             )
-    return _closed_stats(read_batches(spark, out, _stats_schema()))
+    return _closed_stats(read_batches(spark, out, window_schema()))
 
 
 @query("totals_batch")
@@ -498,7 +537,7 @@ def _stream_running_totals(spark, sf_dir):
                 trigger=AVAILABLE_NOW,
             )
         )
-    snapshots = read_batches(spark, out, _stats_schema(windowed=False))
+    snapshots = read_batches(spark, out, totals_schema())
     latest = snapshots.agg(F.max(BATCH_ID)).scalar()
     return _six(snapshots.where(F.col(BATCH_ID) == latest).drop(BATCH_ID), *STATISTICS)
 
@@ -511,6 +550,78 @@ def _stream_archive(spark, sf_dir):
     return read_archive(spark, out)
 
 
+def _in_quarters(spark, sf_dir, label: str, start) -> None:
+    """Run a stream job over the events in four restarts, each with the next quarter of time."""
+    events = table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    ends = events.agg(F.min(micros).alias("first"), F.max(micros).alias("last")).first()
+    width = (ends["last"] - ends["first"]) // 4 + 1
+    inbox = new_path(spark, label)
+    for quarter in range(4):
+        arrived = F.floor((micros - F.lit(ends["first"])) / F.lit(width)) == quarter
+        events.where(arrived).write.mode("append").parquet(inbox)
+        stream = stream_files(spark, inbox, events.schema)
+        with shuffle_partitions(spark, STATE_PARTITIONS):
+            run_available(start(stream))
+
+
+@query("stream_window_quarters")
+def _stream_window_quarters(spark, sf_dir):
+    """Hourly windows whose state passes through several micro-batches and restarts."""
+    out, checkpoint = new_path(spark, "windows"), new_path(spark, "windows-checkpoint")
+    _in_quarters(
+        spark,
+        sf_dir,
+        "windows-inbox",
+        lambda events: jobs.window_job(
+            as_records(faulty_view(events)),
+            table_batch_sink(out),
+            checkpoint,
+            size="1 hour",
+            count_name="CLEAN_RECORDS",
+            nan_as_null=True,
+            trigger=AVAILABLE_NOW,
+        ),
+    )
+    return _closed_stats(read_batches(spark, out, window_schema("CLEAN_RECORDS")))
+
+
+@query("stream_totals_quarters")
+def _stream_totals_quarters(spark, sf_dir):
+    """Totals after the last of several micro-batches, with the number of snapshots."""
+    out, checkpoint = new_path(spark, "totals"), new_path(spark, "totals-checkpoint")
+    _in_quarters(
+        spark,
+        sf_dir,
+        "totals-inbox",
+        lambda events: jobs.totals_job(
+            as_records(faulty_view(events)),
+            table_batch_sink(out),
+            checkpoint,
+            nan_as_null=True,
+            trigger=AVAILABLE_NOW,
+        ),
+    )
+    snapshots = read_batches(spark, out, totals_schema())
+    latest = snapshots.agg(F.max(BATCH_ID)).scalar()
+    last = _six(snapshots.where(F.col(BATCH_ID) == latest).drop(BATCH_ID), *STATISTICS)
+    return last.withColumn("SNAPSHOTS", snapshots.agg(F.count_distinct(BATCH_ID)).scalar())
+
+
+@query("stream_archive_quarters")
+def _stream_archive_quarters(spark, sf_dir):
+    out, checkpoint = new_path(spark, "archive"), new_path(spark, "archive-checkpoint")
+    _in_quarters(
+        spark,
+        sf_dir,
+        "archive-inbox",
+        lambda events: jobs.archive_job(
+            as_records(telemetry_view(events)), out, checkpoint, AVAILABLE_NOW
+        ),
+    )
+    return read_archive(spark, out)
+
+
 @query("csv_roundtrip")
 def _csv_roundtrip(spark, sf_dir):
     path = new_path(spark, "csv")
@@ -518,16 +629,29 @@ def _csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, READING_SCHEMA)
 
 
+@query("csv_line_breaks")
+def _csv_line_breaks(spark, sf_dir):
+    """Text with line breaks, quotes and commas written to CSV and read back."""
+    path = new_path(spark, "csv")
+    text = F.concat(F.col("SOURCE_KEY"), F.lit('\n"a", '), F.col("PLANT_ID"))
+    write_csv(readings(_view(spark, sf_dir)).withColumn("SOURCE_KEY", text), path)
+    return read_csv(spark, path, READING_SCHEMA, line_breaks=True)
+
+
 # --- model ---
 
 
 TIES = ["PLANT_ID", "SOURCE_KEY", "event_id"]
 
 
+def _labelled(spark, sf_dir) -> DataFrame:
+    view = _faulty(spark, sf_dir).withColumn("DATE_TIME", F.col("ts"))
+    return view.select("DATE_TIME", *TIES, *FEATURES, TARGET)
+
+
 def _training_rows(spark, sf_dir) -> DataFrame:
     """Stored once: the split, the fit and the scoring each read these rows."""
-    view = _faulty(spark, sf_dir).withColumn("DATE_TIME", F.col("ts"))
-    return materialize(view.select("DATE_TIME", *TIES, *FEATURES, TARGET), "training")
+    return materialize(_labelled(spark, sf_dir), "training")
 
 
 def _split(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -587,31 +711,56 @@ def _ml_predictions(spark, sf_dir):
 @query("ml_metrics")
 def _ml_metrics(spark, sf_dir):
     trained = train_job(
-        _training_rows(spark, sf_dir), new_path(spark, "model"), tie_columns=TIES, **SMALL_FOREST
+        _labelled(spark, sf_dir), new_path(spark, "model"), tie_columns=TIES, **SMALL_FOREST
     )
     return trained.metrics
 
 
+@query("ml_prediction_rows")
+def _ml_prediction_rows(spark, sf_dir):
+    """Which rows are predicted, and that each has a prediction."""
+    train, test = _split(spark, sf_dir)
+    found = predictions_table(_stored_model(spark, train), test)
+    return _zoneless(
+        found.withColumn("HAS_PREDICTION", F.col("PREDICTED_POWER").isNotNull()).drop(
+            "PREDICTED_POWER"
+        )
+    )
+
+
+# One cut over columns of few values, on all rows: SQL can find the same one.
+STUMP_FEATURES = ["HOUR", "DAY_OF_WEEK"]
+STUMP = {"num_trees": 1, "max_depth": 1, "bootstrap": False}
+
+
+def _stump(spark, sf_dir) -> tuple[PipelineModel, DataFrame]:
+    rows = complete_rows(_training_rows(spark, sf_dir), [*FEATURES, TARGET])
+    return train_power_model(rows, STUMP_FEATURES, **STUMP), rows
+
+
+@query("ml_stump")
+def _ml_stump(spark, sf_dir):
+    """Predictions of a tree of one cut."""
+    return _zoneless(_six(predictions_table(*_stump(spark, sf_dir)), "PREDICTED_POWER"))
+
+
+@query("ml_stump_metrics")
+def _ml_stump_metrics(spark, sf_dir):
+    found = regression_metrics(predictions_table(*_stump(spark, sf_dir)))
+    return _six(found, "MAE", "RMSE", "R2")
+
+
+@query("ml_importance_stump")
+def _ml_importance_stump(spark, sf_dir):
+    return feature_importance(_stump(spark, sf_dir)[0])
+
+
 @query("ml_importance")
 def _ml_importance(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
     return feature_importance(_stored_model(spark, train))
 
 
-def _scored_schema() -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("EVENT_TIME", T.TimestampType()),
-            T.StructField("PREDICTION_TIME", T.TimestampType()),
-            T.StructField("PLANT_ID", T.IntegerType()),
-            T.StructField("SOURCE_KEY", T.StringType()),
-            T.StructField("ACTUAL_POWER", T.DoubleType()),
-            T.StructField("PREDICTED_POWER", T.DoubleType()),
-            T.StructField("IRRADIATION", T.DoubleType()),
-        ]
-    )
-
-
 def _score_the_stream(spark, sf_dir) -> DataFrame:
     train, _ = _split(spark, sf_dir)
     model = _stored_model(spark, train)
@@ -620,7 +769,7 @@ def _score_the_stream(spark, sf_dir) -> DataFrame:
     run_available(
         jobs.scoring_job(records, model, table_batch_sink(out), checkpoint, AVAILABLE_NOW)
     )
-    return read_batches(spark, out, _scored_schema()).drop(BATCH_ID)
+    return read_batches(spark, out, SCORED_SCHEMA).drop(BATCH_ID)
 
 
 @query("ml_stream_score")

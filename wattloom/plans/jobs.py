@@ -17,7 +17,7 @@ from wattloom.operators.clean import clean_readings, enforce_types
 from wattloom.schema import NON_NEGATIVE_COLUMNS, READING_SCHEMA, REQUIRED_COLUMNS
 from wattloom.sources.messages import decode_messages
 from wattloom.streaming.scoring import SCORING_TRIGGER, start_scoring
-from wattloom.streaming.sinks import archive_stream, start_batches
+from wattloom.streaming.sinks import ARCHIVE_TRIGGER, archive_stream, start_batches
 from wattloom.streaming.windows import running_totals, window_stats
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -32,12 +32,13 @@ def archive_job(
     records: DataFrame,
     path: str,
     checkpoint: str,
-    trigger: Mapping | None = None,
+    trigger: Mapping | None = ARCHIVE_TRIGGER,
     partition_by: Sequence[str] = ("YEAR", "MONTH", "DAY"),
+    files_per_date: int = 1,
 ) -> StreamingQuery:
     """Decode every message, fix its types and append it to the archive, uncleaned."""
     readings = enforce_types(decode_messages(records, arrival=None))
-    return archive_stream(readings, path, checkpoint, trigger, partition_by)
+    return archive_stream(readings, path, checkpoint, trigger, partition_by, files_per_date)
 
 
 def window_job(

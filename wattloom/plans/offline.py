@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wattloom.functions.times import MIXED_FORMATS, parse_mixed_timestamp
+from wattloom.functions.times import MIXED_FORMATS, parse_mixed_timestamp, unreadable
 from wattloom.operators.clean import dedupe
 from wattloom.operators.prepare import (
     build_master,
@@ -31,14 +32,34 @@ def load_plants(
 
 
 def master_table(
-    generation: DataFrame, weather: DataFrame, formats: Sequence[str] = MIXED_FORMATS
+    generation: DataFrame,
+    weather: DataFrame,
+    formats: Sequence[str] = MIXED_FORMATS,
+    errors: str = "raise",
 ) -> DataFrame:
-    """Readings with hourly weather; times are read from text in mixed formats."""
-    generation = generation.withColumn("DATE_TIME", parse_mixed_timestamp("DATE_TIME", formats))
-    weather = weather.withColumn("DATE_TIME", parse_mixed_timestamp("DATE_TIME", formats))
+    """Readings with hourly weather; times are read from text in mixed formats.
+
+    Text that is no time fails the query.  With ``errors="null"`` such readings drop out
+    of the join; :func:`rejected_times` lists them.
+    """
+    generation, weather = (
+        df.withColumn("DATE_TIME", parse_mixed_timestamp("DATE_TIME", formats, errors))
+        for df in (generation, weather)
+    )
     return build_master(generation, hourly_weather(weather))
 
 
+def rejected_times(
+    df: DataFrame, time_column: str = "DATE_TIME", formats: Sequence[str] = MIXED_FORMATS
+) -> DataFrame:
+    """The rows that have no time to join by, with ``COLUMN_NAME``, ``TEXT`` and ``REASON``."""
+    text = F.col(time_column)
+    reason = F.when(text.isNull(), "missing").when(unreadable(time_column, formats), "unreadable")
+    return df.withColumns(
+        {"COLUMN_NAME": F.lit(time_column), "TEXT": text, "REASON": reason}
+    ).where(F.col("REASON").isNotNull())
+
+
 def feature_table(master: DataFrame, target: Column) -> DataFrame:
     """Deduplicated readings with calendar columns, encoded source and target.
 

@@ -202,6 +202,41 @@ usable AS (
 )"""
 
 
+# The one cut of lowest variance, its two means, and what they predict.
+STUMP = f"""{TRAINING},
+u AS (SELECT ts, PLANT_ID, SOURCE_KEY, HOUR, DAY_OF_WEEK, POWER_GENERATED AS y FROM usable),
+grouped AS (
+  SELECT 'HOUR' AS FEATURE, HOUR AS v, count(*) AS c, sum(y) AS s FROM u GROUP BY 2
+  UNION ALL SELECT 'DAY_OF_WEEK', DAY_OF_WEEK, count(*), sum(y) FROM u GROUP BY 2
+),
+cuts AS (
+  SELECT FEATURE, v, sum(c) OVER low AS n1, sum(s) OVER low AS s1,
+    sum(c) OVER (PARTITION BY FEATURE) AS n, sum(s) OVER (PARTITION BY FEATURE) AS st
+  FROM grouped WINDOW low AS (PARTITION BY FEATURE ORDER BY v)
+),
+best AS (
+  SELECT FEATURE, v, s1 / n1 AS m1, (st - s1) / (n - n1) AS m2 FROM cuts WHERE n1 < n
+  ORDER BY s1 * s1 / n1 + (st - s1) * (st - s1) / (n - n1) DESC LIMIT 1
+),
+guessed AS (
+  SELECT ts, PLANT_ID, SOURCE_KEY, y,
+    CASE WHEN (CASE WHEN FEATURE = 'HOUR' THEN HOUR ELSE DAY_OF_WEEK END) <= v
+         THEN m1 ELSE m2 END AS p
+  FROM u, best
+)"""
+
+
+def _metrics() -> str:
+    """Quality of the predictions ``p`` of ``y``."""
+    return "count(*) AS N, " + ", ".join(
+        [
+            _six("avg(abs(y - p))", "MAE"),
+            _six("sqrt(avg((y - p) * (y - p)))", "RMSE"),
+            _six("(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)))", "R2"),
+        ]
+    )
+
+
 def oracle_queries() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -314,6 +349,14 @@ FROM o"""
         "AC_POWER / CAST(10 AS DOUBLE) AS POWER_GENERATED FROM t",
     )
     sql["label_encode"] = sql["label_encode_shuffled"] = _with(READINGS, SOURCE_CODES)
+    sql["label_encode_equal_rows"] = _with(
+        f"""{READINGS},
+e AS (
+  SELECT CASE WHEN event_id % 4 < 2 THEN 'hot' WHEN event_id % 4 = 3 THEN SOURCE_KEY END AS KEY FROM t
+)""",
+        "SELECT KEY, CASE WHEN KEY IS NOT NULL THEN code END AS KEY_ENCODED FROM ("
+        "SELECT KEY, dense_rank() OVER (ORDER BY KEY NULLS LAST) - 1 AS code FROM e)",
+    )
     sql["label_encode_brand"] = (
         "SELECT p_partkey, p_brand, dense_rank() OVER (ORDER BY p_brand) - 1 AS p_brand_ENCODED "
         "FROM part"
@@ -395,6 +438,23 @@ ontime AS (
     )
     sql["stream_archive"] = _with(READINGS, f"SELECT {DECODED} FROM t")
     sql["csv_roundtrip"] = _with(READINGS, f"SELECT {COLUMNS} FROM t")
+    sql["csv_line_breaks"] = _with(
+        READINGS,
+        f"SELECT * REPLACE (SOURCE_KEY || chr(10) || '\"a\", ' || PLANT_ID AS SOURCE_KEY) "
+        f"FROM (SELECT {COLUMNS} FROM t)",
+    )
+    sql["offline_features_mixed"] = sql["offline_features"]
+    sql["rejected_rows"] = _with(
+        FAULTY,
+        "SELECT 'DATE_TIME' AS COLUMN_NAME, DATE_TIME AS TEXT, CASE WHEN DATE_TIME IS NULL "
+        "THEN 'missing' ELSE 'unreadable' END AS REASON, count(*) AS ROWS_REJECTED "
+        "FROM f WHERE k IN (7, 8) GROUP BY 1, 2, 3",
+    )
+    sql["stream_window_quarters"] = sql["stream_window_clean"]
+    sql["stream_totals_quarters"] = _with(
+        arrived, f"SELECT {_statistics('TOTAL_RECORDS')}, 4 AS SNAPSHOTS FROM arrived"
+    )
+    sql["stream_archive_quarters"] = sql["stream_archive"]
 
     # Model
     sql["ml_split"] = _with(
@@ -416,21 +476,29 @@ FROM (
     count(*) OVER () AS total
   FROM orders
 )"""
+    sql["ml_prediction_rows"] = (
+        "SELECT DATE_TIME, PLANT_ID, SOURCE_KEY, POWER_GENERATED AS ACTUAL_POWER, "
+        f"TRUE AS HAS_PREDICTION FROM ({sql['ml_split']}) WHERE PART = 'test'"
+    )
+    sql["ml_stump"] = _with(
+        STUMP,
+        "SELECT ts AS DATE_TIME, PLANT_ID, SOURCE_KEY, y AS ACTUAL_POWER, "
+        f"{_six('p', 'PREDICTED_POWER')} FROM guessed",
+    )
+    sql["ml_stump_metrics"] = _with(STUMP, f"SELECT {_metrics()} FROM guessed")
+    sql["ml_importance_stump"] = _with(
+        STUMP,
+        "SELECT x.FEATURE, CASE WHEN x.FEATURE = best.FEATURE THEN CAST(1 AS DOUBLE) "
+        "ELSE CAST(0 AS DOUBLE) END AS IMPORTANCE "
+        "FROM (VALUES ('HOUR'), ('DAY_OF_WEEK')) AS x(FEATURE), best",
+    )
     sql["regression_metrics"] = _with(
         f"""{READINGS},
 s AS (
   SELECT POWER_GENERATED AS y,
     POWER_GENERATED * CAST(0.9 AS DOUBLE) + AMBIENT_TEMPERATURE / CAST(10 AS DOUBLE) AS p FROM t
 )""",
-        "SELECT count(*) AS N, "
-        + ", ".join(
-            [
-                _six("avg(abs(y - p))", "MAE"),
-                _six("sqrt(avg((y - p) * (y - p)))", "RMSE"),
-                _six("(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)))", "R2"),
-            ]
-        )
-        + " FROM s",
+        f"SELECT {_metrics()} FROM s",
     )
     sql["ml_stream_rows"] = _with(
         FAULTY,

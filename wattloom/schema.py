@@ -85,6 +85,33 @@ SCORING_REQUIRED = [
     "POWER_GENERATED",
 ]
 
+STATISTICS = ["AVG_POWER", "MAX_POWER", "MIN_POWER", "AVG_IRRADIATION"]
+
+
+def window_schema(count_name: str = "TOTAL_RECORDS") -> T.StructType:
+    """Layout of window statistics."""
+    bounds = [T.StructField(n, T.TimestampType()) for n in ("WINDOW_START", "WINDOW_END")]
+    return T.StructType([*bounds, *totals_schema(count_name).fields])
+
+
+def totals_schema(count_name: str = "TOTAL_RECORDS") -> T.StructType:
+    """Layout of running totals."""
+    counted = T.StructField(count_name, T.LongType())
+    return T.StructType([counted, *(T.StructField(n, T.DoubleType()) for n in STATISTICS)])
+
+
+SCORED_SCHEMA = T.StructType(
+    [
+        T.StructField("EVENT_TIME", T.TimestampType()),
+        T.StructField("PREDICTION_TIME", T.TimestampType()),
+        T.StructField("PLANT_ID", T.IntegerType()),
+        T.StructField("SOURCE_KEY", T.StringType()),
+        T.StructField("ACTUAL_POWER", T.DoubleType()),
+        T.StructField("PREDICTED_POWER", T.DoubleType()),
+        T.StructField("IRRADIATION", T.DoubleType()),
+    ]
+)
+
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Tokens that the usual CSV readers of data-frame libraries take as "missing".

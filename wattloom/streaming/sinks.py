@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 BATCH_ID = "BATCH_ID"
+# Each micro-batch writes at least one file for each date in it, so batches should not be small.
+ARCHIVE_TRIGGER = {"processingTime": "1 minute"}
 
 
 def _triggered(writer: DataStreamWriter, trigger: Mapping | None) -> DataStreamWriter:
@@ -19,14 +22,21 @@ def archive_stream(
     df: DataFrame,
     path: str,
     checkpoint: str,
-    trigger: Mapping | None = None,
+    trigger: Mapping | None = ARCHIVE_TRIGGER,
     partition_by: Sequence[str] = ("YEAR", "MONTH", "DAY"),
+    files_per_date: int = 1,
 ) -> StreamingQuery:
     """Append the stream to a Parquet folder, each row exactly once.
 
     Partitioning by calendar date lets later date filters skip files; pass ``()``
-    for a flat archive.
+    for a flat archive.  The rows of a date are brought together before they are
+    written, so a micro-batch writes ``files_per_date`` files for each date rather than
+    one for each date and task; raise it where a date of a batch is large.  Rows are
+    spread over these files by a hash of all their columns.
     """
+    if partition_by:
+        spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_date))
+        df = df.repartition(*partition_by, spread)
     writer = (
         df.writeStream.format("parquet")
         .outputMode("append")
