@@ -37,6 +37,10 @@ def all_of(tests: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
+def any_of(tests: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests)
+
+
 def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows in which none of the columns is null or NaN.
 

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattloom.functions.missing import complete_rows
+from wattloom.functions.missing import any_of, complete_rows, is_missing
 from wattloom.functions.times import parse_event_time
 from wattloom.operators.clean import validate_for_scoring
-from wattloom.schema import FEATURES, TARGET
+from wattloom.schema import FEATURES, NON_NEGATIVE_COLUMNS, SCORING_REQUIRED, TARGET
 from wattloom.workspace import ensure_checkpoint_dir
 
 PREDICTION = "PREDICTED_POWER"
@@ -110,6 +110,19 @@ def score_readings(model: PipelineModel, readings: DataFrame, target: str = TARG
     )
 
 
+def skipped_readings(readings: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """The rows that :func:`score_readings` leaves out, with the ``REASON``."""
+    missing = any_of([F.col(c).isNull() for c in SCORING_REQUIRED])
+    negative = any_of([F.col(c) < 0 for c in NON_NEGATIVE_COLUMNS])
+    unusable = any_of([is_missing(readings, c) for c in features])
+    reason = (
+        F.when(missing, "missing value")
+        .when(negative, "negative value")
+        .when(unusable, "unusable feature")
+    )
+    return readings.withColumn("REASON", reason).where(F.col("REASON").isNotNull())
+
+
 def feature_importance(model: PipelineModel) -> DataFrame:
     """One row per feature, most important first."""
     weights = model.stages[-1].featureImportances.toArray()

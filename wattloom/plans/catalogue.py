@@ -28,6 +28,7 @@ from wattloom.operators.model import (
     load_model,
     predictions_table,
     save_model,
+    skipped_readings,
     train_power_model,
 )
 from wattloom.operators.prepare import (
@@ -777,6 +778,13 @@ def _ml_stream_score(spark, sf_dir):
     return _zoneless(_score_the_stream(spark, sf_dir))
 
 
+@query("scoring_rejects")
+def _scoring_rejects(spark, sf_dir):
+    """How many decoded readings the scoring leaves out, and why."""
+    decoded = decode_messages(as_records(_faulty(spark, sf_dir)), arrival=None)
+    return skipped_readings(decoded).groupBy("REASON").agg(F.count("*").alias("ROWS_SKIPPED"))
+
+
 @query("ml_stream_rows")
 def _ml_stream_rows(spark, sf_dir):
     """Which rows the scoring stream keeps, and that each has a prediction."""

@@ -500,6 +500,17 @@ s AS (
 )""",
         f"SELECT {_metrics()} FROM s",
     )
+    absent = " OR ".join(
+        f"{c} IS NULL"
+        for c in ("DATE_TIME", "PLANT_ID", "AC_POWER", "DC_POWER", "IRRADIATION", "POWER_GENERATED")
+    )
+    sql["scoring_rejects"] = _with(
+        FAULTY,
+        f"SELECT REASON, count(*) AS ROWS_SKIPPED FROM (SELECT CASE WHEN k = 11 OR {absent} "
+        "THEN 'missing value' WHEN IRRADIATION < 0 OR POWER_GENERATED < 0 THEN 'negative value' "
+        "WHEN isnan(IRRADIATION) OR isnan(DC_POWER) THEN 'unusable feature' END AS REASON FROM f) "
+        "WHERE REASON IS NOT NULL GROUP BY REASON",
+    )
     sql["ml_stream_rows"] = _with(
         FAULTY,
         "SELECT try_strptime(DATE_TIME, '%Y-%m-%d %H:%M:%S') AS EVENT_TIME, PLANT_ID, SOURCE_KEY, "
