@@ -72,7 +72,23 @@ def test_packed_numbers_come_back():
 
 
 def test_rolling_hashes_depend_on_the_words_alone():
-    own = word_tools.word_hashes([w.encode() for w in words(5, 300)])
+    own, _ = word_tools.hash_words(" ".join(words(5, 300)).encode())
     whole = word_tools.rolling_hashes(own, 7, substring_dedup._FULL_BASE)
     alone = word_tools.rolling_hashes(own[100:107], 7, substring_dedup._FULL_BASE)
     assert whole[100] == alone[0] and len(set(whole.tolist())) == 294
+
+
+def test_word_hashes_depend_on_the_words_alone(monkeypatch):
+    own = [w.encode() for w in words(6, 200)] + [b"x" * 300, b"\xc3\xa9", b"a", b"aa"]
+    text = b" \t" + b"\r\n ".join(own) + b"\x0b"
+    whole, starts = word_tools.hash_words(text)
+    assert [text[s : s + len(w)] for s, w in zip(starts, own)] == own
+    alone = [word_tools.hash_words(w)[0][0] for w in own]
+    assert whole.tolist() == alone and len(set(alone)) == len(set(own))
+    monkeypatch.setattr(word_tools, "BYTES_AT_ONCE", 16)
+    blocks, again = word_tools.hash_words(text)
+    assert (blocks == whole).all() and (again == starts).all()
+    hashes, counts = word_tools.hash_texts([b"", b"a b", b" ", text, b"c"])
+    assert counts.tolist() == [0, 2, 0, len(own), 1]
+    assert hashes[2:-1].tolist() == alone
+    assert [len(x) for x in word_tools.hash_words(b" \n")] == [0, 0]

@@ -24,7 +24,7 @@ Documents of equal sets are one representative throughout, and join it at the en
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,20 +35,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.components import components
+from wattloom.llm.memory import frugal, give_back
 from wattloom.llm.words import (
+    BYTES_AT_ONCE,
+    hash_texts,
     mixed,
     pack_ascending,
     rolling_hashes,
-    split_words,
     unpack_ascending,
-    word_hashes,
 )
 from wattloom.workspace import materialize
 
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 80
 # A part is closed when it has so many words; a hash range is made for so many words.
-PART_WORDS = 2_000_000
+PART_WORDS = 1_000_000
 RANGE_WORDS = 4_000_000
 LEAST_RANGES = 64
 # Documents in a block of a large cluster, and of small clusters packed into one task.
@@ -61,14 +62,44 @@ _BASE = 0x2545F4914F6CDD1D
 _COLUMNS_AT_ONCE = 8192
 
 
-def shingle_set(words: list[bytes], size: int = SHINGLE_WORDS) -> np.ndarray:
-    """Ascending hashes of the distinct shingles; fewer words are one shingle of their own."""
-    if len(words) >= size:
-        return np.unique(rolling_hashes(word_hashes(words), size, _BASE))
-    if words:
-        whole = rolling_hashes(word_hashes(words), len(words), _BASE)
-        return mixed(whole + np.uint64(len(words)))
-    return np.zeros(0, np.uint64)
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])]
+
+
+def shingle_sets(
+    texts: Iterable[bytes], size: int = SHINGLE_WORDS
+) -> Iterator[tuple[int, np.ndarray]]:
+    """Number of words of each text, and ascending hashes of its distinct shingles.
+
+    Fewer words than ``size`` are one shingle of their own.  Texts are hashed some at a
+    time, as one run of words; a shingle's hash does not depend on its place there.
+    """
+    held: list[bytes] = []
+    count = 0
+    for text in texts:
+        held.append(text)
+        count += len(text)
+        if count >= BYTES_AT_ONCE:
+            yield from _sets_of(held, size)
+            held, count = [], 0
+    if held:
+        yield from _sets_of(held, size)
+
+
+def _sets_of(texts: list[bytes], size: int) -> Iterator[tuple[int, np.ndarray]]:
+    hashes, counts = hash_texts(texts)
+    rolled = rolling_hashes(hashes, size, _BASE)
+    start = 0
+    for n in counts.tolist():
+        end = start + n
+        if n >= size:
+            yield n, _distinct(rolled[start : end - size + 1])
+        elif n:
+            yield n, mixed(rolling_hashes(hashes[start:end], n, _BASE) + np.uint64(n))
+        else:
+            yield n, np.zeros(0, np.uint64)
+        start = end
 
 
 def _least_overlap(n: int, percent: int) -> int:
@@ -77,7 +108,7 @@ def _least_overlap(n: int, percent: int) -> int:
 
 
 def _parts(documents: DataFrame, size: int) -> DataFrame:
-    """Each document with its part, reference, number of shingles, signature and words."""
+    """Each document with its part, reference, counts, signature and lower-cased text."""
     schema = pa.schema(
         [
             ("part", pa.int64()),
@@ -89,29 +120,29 @@ def _parts(documents: DataFrame, size: int) -> DataFrame:
         ]
     )
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         task = TaskContext.get().partitionId()
         part, ref, words = task << 32, task << 33, 0
         for batch in batches:
             out = []
-            for text in batch["text"]:
-                # Lower-casing bytes changes A-Z only.
-                own = split_words((text.as_py() or b"").lower())
-                shingles = shingle_set(own, size)
+            # Lower-casing bytes changes A-Z only.
+            texts = [(text.as_py() or b"").lower() for text in batch["text"]]
+            for text, (n, shingles) in zip(texts, shingle_sets(texts, size)):
                 out.append(
                     {
                         "part": part,
                         "ref": ref,
-                        "n_words": len(own),
+                        "n_words": n,
                         "n_shingles": len(shingles),
                         "signature": hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
-                        if own
+                        if n
                         else None,
-                        "packed": squeeze(b" ".join(own)),
+                        "packed": squeeze(text),
                     }
                 )
-                ref, words = ref + 1, words + len(own)
+                ref, words = ref + 1, words + n
                 if words >= PART_WORDS:
                     part, words = part + 1, 0
             found = pa.RecordBatch.from_pylist(out, schema)
@@ -162,17 +193,19 @@ def _count_rows(size: int, ranges: int):
             )
         return pa.RecordBatch.from_pylist(out, schema)
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor().decompress
         part, sets, held = None, [], 0
         for batch in batches:
-            for key, packed in zip(batch["part"], batch["packed"]):
-                if sets and (key.as_py() != part or held >= PART_WORDS):
+            texts = (expand(packed.as_py()) for packed in batch["packed"])
+            for key, (_, shingles) in zip(batch["part"].to_pylist(), shingle_sets(texts, size)):
+                if sets and (key != part or held >= PART_WORDS):
                     yield rows_of(part, sets)
                     sets, held = [], 0
-                part = key.as_py()
-                sets.append(shingle_set(split_words(expand(packed.as_py())), size))
-                held += len(sets[-1])
+                part = key
+                sets.append(shingles)
+                held += len(shingles)
         if sets:
             yield rows_of(part, sets)
 
@@ -194,6 +227,8 @@ def _frequent(rows: pd.DataFrame) -> pd.DataFrame:
         shared = df > 1
         if shared.any():
             out.append((part, pack_ascending(mine[shared]), _squeezed(df[shared])))
+    del own, keys, counts
+    give_back()
     found = pd.DataFrame(out, columns=["part", "keys", "counts"])
     found["range"] = rows["range"].iloc[0]
     found["copies"] = None
@@ -234,10 +269,13 @@ def _prefixes(size: int, percent: int, ranges: int):
         order = np.argsort(places)
         places, totals = places[order], totals[order]
         out = []
-        for ref, packed in zip(texts["ref"].to_pylist(), texts["packed"]):
-            if ref in copies or not len(places):
-                continue
-            shingles = shingle_set(split_words(expand(packed.as_py())), size)
+        rows = [
+            row
+            for row in zip(texts["ref"].to_pylist(), texts["packed"])
+            if row[0] not in copies and len(places)
+        ]
+        sets = shingle_sets((expand(packed.as_py()) for _, packed in rows), size)
+        for (ref, _), (_, shingles) in zip(rows, sets):
             own = _placed(shingles, ranges)
             at = np.minimum(np.searchsorted(places, own), len(places) - 1)
             frequency = np.where(places[at] == own, totals[at], 0)
@@ -261,6 +299,7 @@ def _prefixes(size: int, percent: int, ranges: int):
                         "shared": shingles[frequency > 0].tobytes(),
                     }
                 )
+        give_back()
         return pa.Table.from_pylist(
             out,
             pa.schema(
@@ -366,6 +405,7 @@ def _tile_links(percent: int):
             by_cluster.setdefault(row["cluster"], []).append(row)
         found = [x for rows in by_cluster.values() for x in cluster(rows)]
         cells = list(zip(*found)) or [[], [], []]
+        give_back()
         return pa.table([pa.array(c, pa.int64()) for c in cells], ["u", "v", "links"])
 
     return run

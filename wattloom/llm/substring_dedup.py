@@ -30,19 +30,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattloom.llm.memory import frugal, give_back
 from wattloom.llm.words import (
+    hash_texts,
     is_among,
     pack_ascending,
     rolling_hashes,
     split_words,
     unpack_ascending,
-    word_hashes,
 )
 from wattloom.workspace import materialize
 
 WINDOW = 35
 # A part is closed when it has so many words; a hash range is made for so many words.
-PART_WORDS = 2_000_000
+PART_WORDS = 1_000_000
 RANGE_WORDS = 4_000_000
 LEAST_RANGES = 64
 
@@ -65,6 +66,7 @@ _HASH_ROWS = "range int, part long, once binary, again binary, blocks binary"
 def _parts(documents: DataFrame) -> DataFrame:
     """Each document with its part, its row there, and its compressed words."""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         part, row, words = TaskContext.get().partitionId() << 32, 0, 0
@@ -102,11 +104,10 @@ class _Words:
 
     def __init__(self, packed: list[bytes]):
         expand = zstandard.ZstdDecompressor().decompress
-        self.words = [split_words(expand(p)) for p in packed]
-        counts = [len(w) for w in self.words]
+        self.texts = [expand(p) for p in packed]
+        self.hashes, counts = hash_texts(self.texts)
         self.ends = np.cumsum(counts, dtype=np.int64)
         self.starts = self.ends - counts
-        self.hashes = np.concatenate([np.zeros(0, np.uint64), *map(word_hashes, self.words)])
         self.own_end = np.repeat(self.ends, counts)
         self.own_start = np.repeat(self.starts, counts)
 
@@ -171,6 +172,7 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict
 
 
 def _anchor_rows(block: int, ranges: int):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _by_part(batches):
             words = _Words([r["packed"] for r in rows])
@@ -197,6 +199,7 @@ def _anchor_rows(block: int, ranges: int):
 
 
 def _window_rows(window: int, ranges: int):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _by_part(batches):
             words = _Words([r["packed"] for r in rows])
@@ -235,6 +238,8 @@ def _repeated(kind: str, with_blocks: bool):
             hot = hot[is_among(hot, np.unique(np.concatenate(blocks)))]
         found = [pack_ascending(v[is_among(v, hot)]) for v in own]
         out = pd.DataFrame({"part": rows["part"], "range": rows["range"], "hashes": found})
+        del own, more, hot
+        give_back()
         return out[out["hashes"].str.len() > 0]
 
     return run
@@ -276,6 +281,8 @@ def _hot_places(window: int, block: int, ranges: int):
         taken = [i for i, s in enumerate(spans) if len(s)]
         kept = texts.select(["part", "row", "n_words", "packed"]).take(pa.array(taken, pa.int64()))
         cells = pa.array([spans[i].tobytes() for i in taken], pa.binary())
+        del words, hits, wanted, known, own, upper
+        give_back()
         return kept.append_column("candidates", cells)
 
     return run
@@ -299,10 +306,10 @@ def _removed(window: int, ranges: int):
         np.add.at(change, starts + window, -1)
         gone = np.cumsum(change[:-1]) > 0
         out = []
-        for row, own, start, end in zip(suspects, words.words, words.starts, words.ends):
+        for row, text, start, end in zip(suspects, words.texts, words.starts, words.ends):
             cut = gone[start:end]
             if cut.any():
-                kept = b" ".join([w for w, c in zip(own, cut) if not c])
+                kept = b" ".join([w for w, c in zip(split_words(text), cut) if not c])
                 out.append(
                     {
                         "part": row["part"],
