@@ -19,7 +19,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import ship
+from wattloom.llm import prepare
 from wattloom.llm.columns import if_small
 from wattloom.llm.decontamination import contaminated
 from wattloom.llm.jaccard_join import near_duplicates
@@ -31,6 +31,7 @@ from wattloom.workspace import materialize
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic; the labels are those of the corpus."""
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scores = toxicity_scores(docs, labels, carry=tuple(docs.columns))
     return scores.where("predicted = 0").select("row.*")
@@ -38,6 +39,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of each class of near copies."""
+    prepare(spark)
     classes = near_duplicates(docs)
     first = classes.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -46,6 +48,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
+    prepare(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = materialize(contaminated(docs, benchmark).select("doc_id").distinct(), "leaks")
     return docs.join(if_small(found), "doc_id", "left_anti").select(docs.columns)
@@ -53,6 +56,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced and ``n_chars`` counted anew."""
+    prepare(spark)
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     found = find_secrets(docs, carry=("text", *others))
     text = redacted(F.col("text"), F.col("spans"))
@@ -62,6 +66,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2,048 tokens."""
+    prepare(spark)
     return pack_documents(
         docs, public_tokenizers.path("word_bpe_49k.json"), size=2048, end_id=1, with_ids=False
     )
@@ -81,7 +86,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each is stored and read by the next."""
-    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)

@@ -49,6 +49,17 @@ def running_starts(lengths: Column) -> Column:
     return let(lengths, lambda own: F.when(F.size(own) > 0, starts(own)).otherwise(empty))
 
 
+def chosen_by_hash(share: float, *columns: Column | str) -> Column:
+    """True for about ``share`` of the rows, by a hash of the columns.
+
+    Unlike the rows of least hash, these are found without any task passing on more
+    rows than it has among them.
+    """
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(*columns) < F.lit(int(-(2**63) + share * 2**64)).cast("long")
+
+
 def words_of(text: Column) -> Column:
     """Lower-cased runs of characters other than ASCII white space."""
     return F.array_remove(F.split(F.lower(text), "[\\x20\\t-\\r]+"), "")

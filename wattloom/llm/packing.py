@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattloom.llm.memory import frugal
 from wattloom.llm.pretokens import text_encoder
 from wattloom.workspace import materialize
 
@@ -207,6 +208,7 @@ _TOKENIZED = (
 def _tokenized(documents: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
     """Ids of each document (16-bit where they fit, compressed) and its place among its part."""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(tokenizer)
         squeeze = zstandard.ZstdCompressor(level=1).compress
@@ -334,6 +336,7 @@ def pack_documents(
         elif rest:
             yield from stream_pieces(row["at"], rest, shared.value, size)
 
+    @frugal
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64()] * 6 + [pa.binary()]
         for batch in batches:

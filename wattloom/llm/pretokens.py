@@ -34,7 +34,7 @@ LATIN = re.compile("[\t-\r -~¡-ſ]*")
 BLOCK_CHARS = 1 << 20
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 # Pre-tokens in a generation of a cache; a Python worker keeps at most two generations.
-CACHE_LIMIT = 200_000
+CACHE_LIMIT = 150_000
 
 
 def _byte_chars() -> dict[int, str]:

@@ -18,13 +18,17 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattloom.llm.memory import frugal
 from wattloom.llm.pretokens import TextEncoder, text_encoder
+from wattloom.workspace import materialize
 
 # Entries of the broadcast table, pre-tokens per task summary, longest entry in characters:
 # the table is at most 16,384 entries of 64 characters, about 2 MB.
 TABLE_ENTRIES = 16_384
 SUMMARY_ENTRIES = 4_096
 ENTRY_CHARS = 64
+# Bins of counts for each doubling.
+BINS = 16
 
 # The encoder of this Python worker and the table it was made with.
 _WORKER: dict = {}
@@ -39,8 +43,9 @@ def _worker_encoder(tokenizer: str, table: Broadcast) -> TextEncoder:
 
 
 def frequent_pretokens(documents: DataFrame, tokenizer: str, text: str = "text") -> dict[str, int]:
-    """Token lengths of the most frequent pre-tokens; ties go to the lesser string."""
+    """Token lengths of the most frequent pre-tokens."""
 
+    @frugal
     def summarize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(tokenizer)
         seen: Counter = Counter()
@@ -57,14 +62,24 @@ def frequent_pretokens(documents: DataFrame, tokenizer: str, text: str = "text")
         )
 
     texts = documents.select(F.col(text).cast("string").alias("text"))
-    rows = (
+    counts = materialize(
         texts.mapInArrow(summarize, "pretoken string, n long")
         .groupBy("pretoken")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.col("n").desc(), "pretoken")
-        .limit(TABLE_ENTRIES)
-        .collect()  # at most TABLE_ENTRIES short strings
+        .agg(F.sum("n").alias("n")),
+        "pretokens",
     )
+    # The table takes whole bins of counts, from the greatest down, as long as they fit.
+    counts = counts.withColumn("bin", F.floor(F.log2("n") * BINS).cast("int"))
+    entries, least = 0, None
+    # At most 64 * BINS rows.
+    for row in sorted(counts.groupBy("bin").count().collect(), reverse=True):
+        entries += row["count"]
+        if entries > TABLE_ENTRIES:
+            break
+        least = row["bin"]
+    if least is None:
+        return {}
+    rows = counts.where(F.col("bin") >= least).select("pretoken").collect()  # TABLE_ENTRIES at most
     encoder = text_encoder(tokenizer)
     return {r["pretoken"]: len(encoder.piece_ids(r["pretoken"])) // 4 for r in rows}
 
@@ -83,6 +98,7 @@ def token_counts(
         frequent_pretokens(documents, tokenizer, text)
     )
 
+    @frugal
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _worker_encoder(tokenizer, table)
         for batch in batches:

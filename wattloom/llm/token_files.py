@@ -30,6 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wattloom.llm.columns import chosen_by_hash
+from wattloom.llm.memory import frugal
 from wattloom.llm.pretokens import text_encoder
 
 MAGIC = b"WTOK0001"
@@ -45,8 +47,8 @@ ENTRY = np.dtype(
     ]
 )
 LEVEL = 1
-# The dictionary is fit on at most so many documents of at most so many bytes of text,
-# those with the least hash of id and text.  It changes the size of the files only.
+# The dictionary is fit on about so many documents, never over twice as many, of at most so
+# many bytes of text, chosen by a hash of id and text.  It changes the size of the files only.
 DICTIONARY_BYTES = 64 * 1024
 DICTIONARY_DOCUMENTS = 1_000
 DICTIONARY_TEXT_BYTES = 16 * 1024
@@ -65,12 +67,14 @@ def train_dictionary(documents: DataFrame, tokenizer: str, end_id: int) -> bytes
     ``documents`` has the columns ``doc_id`` and ``text``.
     """
     short = documents.where(F.octet_length("text") <= DICTIONARY_TEXT_BYTES)
+    share = DICTIONARY_DOCUMENTS / max(1, documents.count())
     rows = (
-        short.select("text", F.xxhash64("doc_id", "text").alias("h"))
-        .orderBy("h", "text")
-        .limit(DICTIONARY_DOCUMENTS)
-        .collect()  # bounded by the two parameters: 16 MB
+        short.where(chosen_by_hash(share, "doc_id", "text"))
+        .select("text")
+        .limit(2 * DICTIONARY_DOCUMENTS)
+        .collect()  # bounded by the two parameters: 32 MB
     )
+    rows.sort()
     encoder = text_encoder(tokenizer)
     end = end_id.to_bytes(4, "little")
     samples = [encoder.ids(r["text"]) + end for r in rows]
@@ -120,6 +124,7 @@ def write_token_files(
     shared = spark.sparkContext.broadcast(dictionary)
     end = end_id.to_bytes(4, "little")
 
+    @frugal
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(tokenizer)
         frame = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(shared.value)).compress
@@ -180,6 +185,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     names = ["doc_id", "start", "n_tokens", "ids"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
+    @frugal
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():

@@ -31,10 +31,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from wattloom.llm.columns import chosen_by_hash
+from wattloom.llm.memory import frugal
 from wattloom.workspace import materialize
 
-# At most so many labelled rows are learned from, those with the least hash of their id.
+# At most so many labelled rows are learned from, chosen by a hash of their id.
 LEARN_ROWS = 24_000
 # Lexicon: at most so many terms, in at least so many toxic texts and
 # such a share of them, so many times likelier there.
@@ -44,7 +47,7 @@ STRONG_ODDS, WEAK_ODDS = 30.0, 4.0
 FOLDS = 5
 TREES, DEPTH = 20, 4
 STRETCH, NEARNESS = 25, 5
-CACHE_LIMIT = 300_000
+CACHE_LIMIT = 150_000
 
 # Words of the second person in English, German, French and Spanish.
 SECOND_PERSON = (
@@ -169,6 +172,7 @@ def _worker_codes(strong: frozenset[str], weak: frozenset[str]) -> dict[str, int
     return _CODES["codes"]
 
 
+@frugal
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Toxic and clean texts with each term, by fold, of one task."""
     counts: dict[tuple[int, int], Counter] = {}
@@ -228,20 +232,29 @@ def learn_lexicons(learned: DataFrame) -> list[Lexicon]:
 
 
 def with_features(
-    documents: DataFrame, strong: frozenset[str], weak: frozenset[str], columns: list[str]
+    documents: DataFrame,
+    strong: frozenset[str],
+    weak: frozenset[str],
+    columns: list[str],
+    text_in_row: str | None = None,
 ) -> DataFrame:
-    """``columns`` of each document and its features; ``text`` is the document's text."""
+    """``columns`` of each document and its features.
+
+    The text is the column ``text``, or a field of the struct column ``row``.
+    """
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _worker_codes(strong, weak)
         for batch in batches:
-            found = [text_features(text.as_py(), codes) for text in batch["text"]]
+            texts = batch["row"].field(text_in_row) if text_in_row else batch["text"]
+            found = [text_features(text.as_py(), codes) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c] for c in columns), pa.array(found, pa.list_(pa.float64()))],
                 [*columns, "features"],
             )
 
-    own = documents.select(*columns, "text")
+    own = documents.select(*columns, *([] if text_in_row else ["text"]))
     kinds = [f"`{c}` {own.schema[c].dataType.simpleString()}" for c in columns]
     return own.mapInArrow(run, ", ".join([*kinds, "features array<double>"]))
 
@@ -271,21 +284,27 @@ def toxicity_scores(
     """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     passed = [F.struct(*carry).alias("row")] if carry else []
+    text_in_row = text if text in carry and documents.schema[text].dataType == T.StringType() else None
     docs = documents.select(
         F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), *passed
     ).withColumn("held_out", F.coalesce(fold == 0, F.lit(False)))
 
-    # At most learn_rows rows.
-    chosen = (
+    usable = materialize(
         labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("toxic"))
         .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (fold != 0))
         .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
+        .agg(F.max("toxic").alias("toxic")),
+        "usable",
+    )
+    # Somewhat fewer by hash, so that the limit hardly ever has anything to cut off.
+    share = 0.97 * learn_rows / max(1, usable.count())
+    chosen = materialize(
+        usable.where(chosen_by_hash(share, F.lit(seed), "doc_id"))
         .withColumn("h", F.xxhash64("doc_id"))
         .orderBy("h", "doc_id")
-        .limit(learn_rows)
+        .limit(learn_rows),
+        "chosen",
     )
-    chosen = materialize(chosen, "chosen")
     # Copies of a text would make all its words look like terms; at most learn_rows rows are dealt.
     copies = Window.partitionBy(F.xxhash64("text"), "text", "toxic").orderBy("fold")
     learned = materialize(
@@ -311,7 +330,9 @@ def toxicity_scores(
     )
     last = F.col("fold") == FOLDS - 1
     counts = featured.groupBy("toxic", last).count().collect()
-    scored = with_features(docs, *final, ["doc_id", "held_out", *(["row"] if carry else [])])
+    scored = with_features(
+        docs, *final, ["doc_id", "held_out", *(["row"] if carry else [])], text_in_row
+    )
     if len(counts) < 4:
         share = learned.agg(F.avg("toxic")).first()[0] or 0.0
         scored = scored.withColumn("score", F.lit(float(share)))
