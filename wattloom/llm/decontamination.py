@@ -97,10 +97,13 @@ def least_run(shingles: int, percent: int) -> int:
     return -(-(shingles - differ) // (differ + 1))
 
 
-def most_shift(shingles: int, percent: int, size: int) -> int:
-    """Words that may be put in or taken out before a run, in a window of the similarity."""
-    differ = shingles - -(-2 * percent * shingles // (100 + percent))
-    return max(0, differ - (size - 1))
+def most_shift(shingles: int, percent: int) -> int:
+    """Words by which a window of the similarity may begin before or after its item's place.
+
+    Each of them is a shingle that is not the item's, whether it lies at the window's edge
+    or comes from words put in or taken out.
+    """
+    return shingles - -(-2 * percent * shingles // (100 + percent))
 
 
 def contaminated(
@@ -147,7 +150,7 @@ def contaminated(
     if not lengths:
         return _no_rows(docs, items)
     shingles = {m: max(1, m - size + 1) for m in lengths}
-    shifts = {m: most_shift(shingles[m], percent, size) for m in lengths}
+    shifts = {m: most_shift(shingles[m], percent) for m in lengths}
     # Shingles of each width are looked up at every so many-th word.
     steps: dict[int, int] = {}
     for m in lengths:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import ship
+from wattloom.llm import prepare
 from wattloom.llm.decontamination import contaminated
 from wattloom.llm.jaccard_join import near_duplicates
 from wattloom.llm.packing import pack_documents
@@ -30,7 +30,7 @@ URL_RULES = [
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -125,7 +125,87 @@ QUERIES = {
     "op10_token_files": op10_token_files,
 }
 
+_SPACES = "'[\\x20\\t-\\r]+'"
+_WORDS = f"list_filter(regexp_split_to_array({{0}}, {_SPACES}), lambda x: x <> '')"
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL = {
+    "op3_jaccard_join": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+            FROM d, unnest(range(1, greatest(len(w) - 3, CASE WHEN len(w) > 0 THEN 2 ELSE 1 END)))
+                 AS t(i)
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), links AS (
+            SELECT x.doc_id AS a, y.doc_id AS b
+            FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+                 JOIN n nx ON nx.doc_id = x.doc_id JOIN n ny ON ny.doc_id = y.doc_id
+            GROUP BY x.doc_id, y.doc_id, nx.n, ny.n
+            HAVING 100 * count(*) >= 80 * (nx.n + ny.n - count(*))
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+        )
+        SELECT documents.doc_id, coalesce(any_value(n.n), 0) AS n_shingles,
+               min(reach.other) AS component_id,
+               (SELECT count(*) FROM links WHERE links.a = documents.doc_id) AS n_links
+        FROM documents JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id)
+        GROUP BY documents.doc_id
+    """,
+    "op6_decontamination": f"""
+        WITH d AS (
+            SELECT doc_id, {_WORDS.format("lower(text)")} AS w FROM documents
+        ), b AS (
+            SELECT item_id, {_WORDS.format("lower(text)")} AS w FROM benchmark
+        ), ds AS (
+            SELECT doc_id, i - 1 AS p, array_to_string(w[i:i + 4], ' ') AS g
+            FROM d, unnest(range(1, len(w) - 3)) AS t(i)
+        ), bs AS (
+            SELECT item_id, len(w) AS m, array_to_string(w[i:i + 4], ' ') AS g, count(*) AS c
+            FROM b, unnest(range(1, len(w) - 3)) AS t(i) GROUP BY ALL
+        ), pairs AS (
+            SELECT DISTINCT ds.doc_id, bs.item_id, bs.m FROM ds JOIN bs USING (g)
+        ), windows AS (
+            SELECT pairs.*, start FROM pairs JOIN d USING (doc_id),
+                   unnest(range(0, len(w) - m + 1)) AS t(start)
+        ), counted AS (
+            SELECT windows.doc_id, item_id, m, start, g, count(*) AS c
+            FROM windows JOIN ds ON ds.doc_id = windows.doc_id AND p BETWEEN start AND start + m - 5
+            GROUP BY ALL
+        ), lesser AS (
+            SELECT doc_id, item_id, counted.m, start, sum(least(counted.c, bs.c))::BIGINT AS n
+            FROM counted JOIN bs USING (item_id, g) GROUP BY ALL
+        ), alike AS (
+            SELECT *, n / (2 * (m - 4) - n) AS similarity FROM lesser
+            WHERE 100 * n >= 80 * (2 * (m - 4) - n)
+        )
+        SELECT doc_id, item_id, start, m AS n_words, similarity FROM alike
+        QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+    """,
+    "op7_substring_dedup": f"""
+        WITH d AS (
+            SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents
+        ), windows AS (
+            SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS k
+            FROM d, unnest(range(1, len(w) - 33)) AS t(i)
+        ), repeated AS (
+            SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY k) > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, i + o AS p FROM repeated, unnest(range(0, 35)) AS t(o)
+        ), positions AS (
+            SELECT doc_id, w, list(p) AS ps FROM d LEFT JOIN gone USING (doc_id) GROUP BY ALL
+        ), kept AS (
+            SELECT doc_id, w, list_filter(
+                list_transform(w, lambda x, i: CASE WHEN list_contains(ps, i) THEN '' ELSE x END),
+                lambda x: x <> '') AS k FROM positions
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(k))::BIGINT AS n_removed,
+               sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+    """,
     "op2_url_filter": """
         WITH split AS (
             SELECT page_id,
