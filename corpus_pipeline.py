@@ -67,8 +67,14 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2,048 tokens."""
     prepare(spark)
+    # A smaller cache than by itself, since workers still hold what earlier stages left.
     return pack_documents(
-        docs, public_tokenizers.path("word_bpe_49k.json"), size=2048, end_id=1, with_ids=False
+        docs,
+        public_tokenizers.path("word_bpe_49k.json"),
+        size=2048,
+        end_id=1,
+        with_ids=False,
+        cache=150_000,
     )
 
 

@@ -205,12 +205,14 @@ _TOKENIZED = (
 )
 
 
-def _tokenized(documents: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
+def _tokenized(
+    documents: DataFrame, tokenizer: str, end_id: int, size: int, cache: int | None
+) -> DataFrame:
     """Ids of each document (16-bit where they fit, compressed) and its place among its part."""
 
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(tokenizer)
+        encoder = text_encoder(tokenizer, cache)
         squeeze = zstandard.ZstdCompressor(level=1).compress
         part, row, windows = TaskContext.get().partitionId(), 0, 0
         ranks: dict[int, int] = {}
@@ -257,12 +259,14 @@ def pack_documents(
     doc_id: str = "doc_id",
     text: str = "text",
     with_ids: bool = True,
+    cache: int | None = None,
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     ``start`` counts the ids of the document before the piece, ``offset`` the ids of
     the sequence before it; ``ids_crc32`` is over the ids as little-endian unsigned
-    32-bit integers, which ``with_ids`` adds as the column ``ids``.  Sequences are full,
+    32-bit integers, which ``with_ids`` adds as the column ``ids``.  ``cache`` is how many
+    pre-tokens a generation of a worker's cache holds.  Sequences are full,
     but for the last few, whose lengths are powers of two.
 
     A null or empty text is the end id alone.  A null id stays null; repeated rows are
@@ -271,7 +275,7 @@ def pack_documents(
     """
     spark = documents.sparkSession
     plain = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    tokens = materialize(_tokenized(plain, tokenizer, end_id, size), "tokens")
+    tokens = materialize(_tokenized(plain, tokenizer, end_id, size, cache), "tokens")
     kind = plain.schema["doc_id"].dataType.simpleString()
 
     # At most ``size`` rows: the histogram of rest lengths.

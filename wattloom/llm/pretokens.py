@@ -34,7 +34,7 @@ LATIN = re.compile("[\t-\r -~¡-ſ]*")
 BLOCK_CHARS = 1 << 20
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 # Pre-tokens in a generation of a cache; a Python worker keeps at most two generations.
-CACHE_LIMIT = 150_000
+CACHE_LIMIT = 200_000
 
 
 def _byte_chars() -> dict[int, str]:
@@ -117,7 +117,9 @@ class TextEncoder:
     default.  ``known_lengths`` are pre-token lengths worked out beforehand.
     """
 
-    def __init__(self, path: str, known_lengths: dict[str, int] | None = None):
+    def __init__(
+        self, path: str, known_lengths: dict[str, int] | None = None, cache: int | None = None
+    ):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
@@ -133,8 +135,8 @@ class TextEncoder:
         self._special_pattern = re.compile("(" + "|".join(map(re.escape, names)) + ")")
         self._model = self.tokenizer.model
         self._bytes = _byte_chars()
-        self._ids = _Cache(self.piece_ids, CACHE_LIMIT)
-        self._lengths = _Cache(self._piece_length, CACHE_LIMIT, known_lengths)
+        self._ids = _Cache(self.piece_ids, cache or CACHE_LIMIT)
+        self._lengths = _Cache(self._piece_length, cache or CACHE_LIMIT, known_lengths)
 
     def _piece_length(self, piece: str) -> int:
         return len(self._encoded(piece))
@@ -203,6 +205,6 @@ class TextEncoder:
 
 
 @lru_cache(maxsize=4)
-def text_encoder(path: str) -> TextEncoder:
+def text_encoder(path: str, cache: int | None = None) -> TextEncoder:
     """The encoder of this Python worker, kept from task to task."""
-    return TextEncoder(path)
+    return TextEncoder(path, cache=cache)
