@@ -88,6 +88,21 @@ def test_edited_passages_at_any_place(spark):
     assert {r[1] for r in got if r[0] == 2} == {r[1] for r in both}
 
 
+@pytest.mark.parametrize("size", [40, 60, 100])
+def test_passages_whose_parts_changed_places(spark, size):
+    base = words(700 + size, size, 10**6)
+    third = size // 3
+    texts = [base[size // 2 :] + base[: size // 2], base[-third:] + base[:-third]]
+    if size == 100:
+        texts.append(base[:20] + base[60:] + base[20:60])
+    rows = [(i, " ".join(words(i, 13 * i) + t + words(50 + i, 9))) for i, t in enumerate(texts)]
+    rows.append((9, " ".join(base[size // 2 :])))
+    bench = spark.createDataFrame([(1, " ".join(base))], "item_id long, text string")
+    got = sorted(map(tuple, contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()))
+    assert got == by_hand(rows, [(1, " ".join(base))])
+    assert [r[:3] for r in got] == [(i, 1, 13 * i) for i in range(len(texts))]
+
+
 def test_empty_tables(spark):
     docs = documents(spark, ["a b c d e f"])
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")

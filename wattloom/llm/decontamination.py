@@ -7,10 +7,11 @@ similarity is the sum of the lesser weights over the sum of the greater ones.
 1. *Windows.*  A window of similarity ``t`` and its item, both of ``s`` shingles, differ
    in at most ``s - ceil(2 t s / (1 + t))`` of them, so some run of the window's shingles
    all occur in the item, and its length is bounded from below.  Looking up every so
-   many-th shingle of a document therefore meets each such run; a hit at item shingle
-   ``q`` puts the window's start, give or take the words that may have been put in or
-   taken out.  (If an item has a run of words twice, its shingles fit together in several
-   ways; then every window over the hit is taken.)
+   many-th shingle of a document therefore meets each such run.  Where the run stands in
+   the item says nothing of where the window starts, as parts of a passage may have
+   changed places.  So all shingles of the documents that were met are looked up, and each
+   one found counts for every window over it; windows with as many as the similarity
+   wants are taken.
 2. *Candidates.*  Each of these windows gets a 64-bit SimHash.  Two fingerprints within
    ``RADIUS`` bits agree in one of eight bytes but for ``RADIUS // 8`` bits, so the
    items' bytes, with all variants, are indexed, and one lookup per byte finds every
@@ -52,17 +53,6 @@ def _all_shingles(words: Column, size: int) -> Column:
     return F.when(count > 0, many).otherwise(F.array(few))
 
 
-def _repeats(words: Column, size: int) -> Column:
-    """Whether any run of ``size`` words occurs twice."""
-    if size < 1:
-        return F.lit(True)
-    runs = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(words) - size, F.lit(0))),
-        lambda p: _hash(words, p, size),
-    )
-    return let(runs, lambda own: F.size(F.array_distinct(own)) < F.size(own))
-
-
 def simhash(shingles: Column) -> Column:
     """64-bit fingerprint: each bit is the weighted majority of the shingles' bits."""
 
@@ -98,10 +88,10 @@ def least_run(shingles: int, percent: int) -> int:
 
 
 def most_shift(shingles: int, percent: int) -> int:
-    """Words by which a window of the similarity may begin before or after its item's place.
+    """Shingles of a window of the similarity that may not be its item's.
 
-    Each of them is a shingle that is not the item's, whether it lies at the window's edge
-    or comes from words put in or taken out.
+    They lie where words were put in, taken out or replaced, at the window's edges, and
+    over the seams of parts that changed places.
     """
     return shingles - -(-2 * percent * shingles // (100 + percent))
 
@@ -140,7 +130,6 @@ def contaminated(
             "item_id",
             F.size("words").alias("m"),
             _all_shingles(F.col("words"), size).alias("hashes"),
-            _repeats(F.col("words"), size - 1).alias("loose"),
         )
         .withColumn("print", simhash(F.col("hashes"))),
         "items",
@@ -150,25 +139,16 @@ def contaminated(
     if not lengths:
         return _no_rows(docs, items)
     shingles = {m: max(1, m - size + 1) for m in lengths}
-    shifts = {m: most_shift(shingles[m], percent) for m in lengths}
     # Shingles of each width are looked up at every so many-th word.
     steps: dict[int, int] = {}
     for m in lengths:
         width = min(m, size)
         steps[width] = min(steps.get(width, 1 << 30), least_run(shingles[m], percent))
 
-    shift = F.lit(0)
-    for m, n in sorted(shifts.items()):
-        if n:
-            shift = F.when(F.col("m") == m, n).otherwise(shift)
-    # Shingles of an item with a repeat may be met in another order, so at any place of a window.
-    shift = F.when(F.col("loose"), F.col("m")).otherwise(shift)
     index = materialize(
-        items.select("m", shift.alias("shift"), F.posexplode("hashes").alias("q", "h"))
-        .groupBy("h", "m", "q")
-        .agg(F.max("shift").alias("shift")),
-        "index",
+        items.select("m", F.explode("hashes").alias("h")).distinct(), "index"
     )
+
     def every(width: int, step: int) -> Column:
         places = F.sequence(F.lit(0), F.size("words") - width, F.lit(step))
         found = F.transform(
@@ -177,21 +157,39 @@ def contaminated(
         none = F.array().cast("array<struct<p:int,h:bigint>>")
         return F.when(F.size("words") >= width, found).otherwise(none)
 
-    looked_up = F.concat(*[every(width, step) for width, step in sorted(steps.items())])
-    hits = (
-        docs.select("doc_id", F.size("words").alias("n"), F.explode(looked_up).alias("at"))
-        .select("doc_id", "n", "at.p", "at.h")
-        .join(if_small(index), "h")
-        .select("doc_id", "m", "n", F.explode(F.expr("sequence(p - q - shift, p - q + shift)")).alias("start"))
-        .where("start >= 0 AND start + m <= n")
+    def looked_up(docs: DataFrame, steps: dict[int, int]) -> DataFrame:
+        found = F.concat(*[every(width, step) for width, step in sorted(steps.items())])
+        return (
+            docs.select("doc_id", F.size("words").alias("n"), F.explode(found).alias("at"))
+            .select("doc_id", "n", "at.p", "at.h")
+            .join(if_small(index), "h")
+        )
+
+    met = materialize(looked_up(docs, steps).select("doc_id").distinct(), "met")
+    hits = looked_up(docs.join(if_small(met), "doc_id", "left_semi"), dict.fromkeys(steps, 1))
+    # Windows over a shingle; with as many as these shingles found, they can be similar enough.
+    own = F.greatest(F.col("m") - (size - 1), F.lit(1))
+    starts = F.sequence(
+        F.greatest(F.col("p") - own + 1, F.lit(0)), F.least(F.col("p"), F.col("n") - F.col("m"))
     )
+    enough = F.lit(1)
+    for m in sorted(lengths):
+        enough = F.when(F.col("m") == m, shingles[m] - most_shift(shingles[m], percent)).otherwise(enough)
     places = materialize(
-        hits.groupBy("doc_id").agg(F.collect_set(F.struct("m", "start")).alias("places")), "places"
+        hits.where("n >= m")
+        .select("doc_id", "n", "m", F.explode(starts).alias("start"))
+        .groupBy("doc_id", "n", "m", "start")
+        .count()
+        .where(F.col("count") >= enough)
+        .groupBy("doc_id", "n")
+        .agg(F.collect_list(F.struct("m", "start")).alias("places")),
+        "places",
     )
     windows = (
         documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
         .join(if_small(places), "doc_id")
-        .select("doc_id", "places", words_of(F.col("text")).alias("words"))
+        .select("doc_id", "n", "places", words_of(F.col("text")).alias("words"))
+        .where(F.size("words") == F.col("n"))
         .select("doc_id", "words", F.explode("places").alias("w"))
         .select(
             "doc_id",
