@@ -103,6 +103,35 @@ def test_passages_whose_parts_changed_places(spark, size):
     assert [r[:3] for r in got] == [(i, 1, 13 * i) for i in range(len(texts))]
 
 
+def whole_by_hand(rows, items):
+    """Documents of fewer words than the item, as one window."""
+    found = []
+    for item, item_text in items:
+        own = Counter(shingles(split(item_text)))
+        for k, text in rows:
+            w = split(text)
+            has = Counter(shingles(w))
+            lesser, greater = sum((own & has).values()), sum((own | has).values())
+            if 0 < len(w) < len(split(item_text)) and 100 * lesser >= 80 * greater:
+                found.append((k, item, 0, len(w), lesser / greater))
+    return sorted(found)
+
+
+def test_documents_shorter_than_an_item(spark):
+    items = [(n, " ".join(words(300 + n, n, 10**6))) for n in (4, 6, 15, 39, 59)]
+    rows = []
+    for n, text in items:
+        w = text.split()
+        cuts = [w[:-1], w[1:], w[: n // 2] + w[n // 2 + 1 :], w[n // 2 :] + w[: n // 2 - 1]]
+        cuts += [w[: n - k] for k in (2, 3, 7, 8, 11, 12) if k < n] + [w[: n // 2 - 1] + ["x"] + w[n // 2 + 1 :]]
+        rows += [(1000 * n + i, " ".join(c)) for i, c in enumerate(cuts)]
+    rows += [(1, ""), (2, "x"), (3, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(map(tuple, contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()))
+    assert got == sorted(by_hand(rows, items) + whole_by_hand(rows, items))
+    assert {(15000, 15), (39000, 39), (59000, 59), (59002, 59)} <= {r[:2] for r in got}
+
+
 def test_empty_tables(spark):
     docs = documents(spark, ["a b c d e f"])
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")

@@ -1,11 +1,13 @@
 """Benchmark passages in documents by SimHash of item-sized windows.
 
-A window is as many consecutive words as an item has.  Windows and items are compared
+A window is as many consecutive words as an item has; a document of fewer words is one
+window of its own.  Windows and items are compared
 as multisets of word shingles: the weight of a shingle is how often it occurs, and the
 similarity is the sum of the lesser weights over the sum of the greater ones.
 
 1. *Windows.*  A window of similarity ``t`` and its item, both of ``s`` shingles, differ
-   in at most ``s - ceil(2 t s / (1 + t))`` of them, so some run of the window's shingles
+   in at most ``s - ceil(2 t s / (1 + t))`` of them (a shorter window of ``r`` shingles in
+   at most ``r - ceil(t (r + s) / (1 + t))``), so some run of the window's shingles
    all occur in the item, and its length is bounded from below.  Looking up every so
    many-th shingle of a document therefore meets each such run.  Where the run stands in
    the item says nothing of where the window starts, as parts of a passage may have
@@ -15,7 +17,7 @@ similarity is the sum of the lesser weights over the sum of the greater ones.
 2. *Candidates.*  Each of these windows gets a 64-bit SimHash.  Two fingerprints within
    ``RADIUS`` bits agree in one of eight bytes but for ``RADIUS // 8`` bits, so the
    items' bytes, with all variants, are indexed, and one lookup per byte finds every
-   item of the window's length within the radius.
+   item of the window's length, or longer than its document, within the radius.
 3. *Verification* computes the exact similarity.
 
 Only DataFrame functions are used.  A shingle is known by its 64-bit hash.
@@ -81,19 +83,24 @@ def weighted_similarity(a: Column, b: Column) -> tuple[Column, Column]:
     return lesser, F.size(a) + F.size(b) - lesser
 
 
-def least_run(shingles: int, percent: int) -> int:
-    """Length of the run of common shingles that any window of the similarity has."""
-    differ = shingles - -(-2 * percent * shingles // (100 + percent))
+def least_run(shingles: int, percent: int, of: int | None = None) -> int:
+    """Length of the run of common shingles that any window of the similarity has.
+
+    ``of`` is the item's number of shingles, if it is not the window's.
+    """
+    differ = most_shift(shingles, percent, of)
     return -(-(shingles - differ) // (differ + 1))
 
 
-def most_shift(shingles: int, percent: int) -> int:
+def most_shift(shingles: int, percent: int, of: int | None = None) -> int:
     """Shingles of a window of the similarity that may not be its item's.
 
     They lie where words were put in, taken out or replaced, at the window's edges, and
-    over the seams of parts that changed places.
+    over the seams of parts that changed places.  ``of`` is the item's number of shingles,
+    if it is not the window's.
     """
-    return shingles - -(-2 * percent * shingles // (100 + percent))
+    both = shingles + (of or shingles)
+    return shingles - -(-percent * both // (100 + percent))
 
 
 def contaminated(
@@ -112,6 +119,7 @@ def contaminated(
     The row names the most similar window, of several the first: its 0-based first word
     and its length in words.  Words are lower-cased runs of characters other than ASCII
     white space; items of fewer words than a shingle are found where all their words are.
+    A document of fewer words than an item is compared with it as a whole.
 
     Documents and items with a null id, and null, empty and white-space texts, match
     nothing; repeated rows of a document, or rows that share an id, count as one; other
@@ -142,8 +150,10 @@ def contaminated(
     # Shingles of each width are looked up at every so many-th word.
     steps: dict[int, int] = {}
     for m in lengths:
-        width = min(m, size)
-        steps[width] = min(steps.get(width, 1 << 30), least_run(shingles[m], percent))
+        width, own = min(m, size), shingles[m]
+        # Of windows of the item's length and of documents that are shorter.
+        runs = [least_run(n, percent, own) for n in range(-(-percent * own // 100), own + 1)]
+        steps[width] = min(steps.get(width, 1 << 30), *runs)
 
     index = materialize(
         items.select("m", F.explode("hashes").alias("h")).distinct(), "index"
@@ -168,15 +178,16 @@ def contaminated(
     met = materialize(looked_up(docs, steps).select("doc_id").distinct(), "met")
     hits = looked_up(docs.join(if_small(met), "doc_id", "left_semi"), dict.fromkeys(steps, 1))
     # Windows over a shingle; with as many as these shingles found, they can be similar enough.
+    n_words = F.least(F.col("n"), F.col("m"))
     own = F.greatest(F.col("m") - (size - 1), F.lit(1))
+    held = F.greatest(n_words - (size - 1), F.lit(1))
+    enough = F.ceil(percent * (held + own) / (100 + percent))
     starts = F.sequence(
-        F.greatest(F.col("p") - own + 1, F.lit(0)), F.least(F.col("p"), F.col("n") - F.col("m"))
+        F.greatest(F.col("p") - own + 1, F.lit(0)),
+        F.greatest(F.least(F.col("p"), F.col("n") - F.col("m")), F.lit(0)),
     )
-    enough = F.lit(1)
-    for m in sorted(lengths):
-        enough = F.when(F.col("m") == m, shingles[m] - most_shift(shingles[m], percent)).otherwise(enough)
     places = materialize(
-        hits.where("n >= m")
+        hits.where(100 * held >= percent * own)
         .select("doc_id", "n", "m", F.explode(starts).alias("start"))
         .groupBy("doc_id", "n", "m", "start")
         .count()
@@ -190,11 +201,12 @@ def contaminated(
         .join(if_small(places), "doc_id")
         .select("doc_id", "n", "places", words_of(F.col("text")).alias("words"))
         .where(F.size("words") == F.col("n"))
-        .select("doc_id", "words", F.explode("places").alias("w"))
+        .select("doc_id", "n", "words", F.explode("places").alias("w"))
         .select(
             "doc_id",
             "w.m",
             "w.start",
+            F.least(F.col("n"), F.col("w.m")).alias("n_words"),
             _all_shingles_of_window(F.col("words"), F.col("w.start"), F.col("w.m"), size).alias("window"),
         )
         .withColumn("window_print", simhash(F.col("window")))
@@ -232,13 +244,14 @@ def contaminated(
     )
     lesser, greater = weighted_similarity(F.col("window"), F.col("hashes"))
     verified = (
-        candidates.join(windows.select("doc_id", "m", "start", "window"), ["doc_id", "m", "start"])
+        candidates.join(windows.select("doc_id", "m", "start", "n_words", "window"), ["doc_id", "m", "start"])
         .join(if_small(items.select("item_id", "m", "hashes")), ["item_id", "m"])
-        .select("doc_id", "item_id", "start", "m", lesser.alias("lesser"), greater.alias("greater"))
+        .select("doc_id", "item_id", "start", "n_words", lesser.alias("lesser"), greater.alias("greater"))
         .where(100 * F.col("lesser") >= percent * F.col("greater"))
     )
     best = F.max_by(
-        F.struct("start", "m", "similarity"), F.struct("similarity", -F.col("start"), -F.col("m"))
+        F.struct("start", "n_words", "similarity"),
+        F.struct("similarity", -F.col("start"), -F.col("n_words")),
     )
     return (
         verified.withColumn("similarity", F.col("lesser") / F.col("greater"))
@@ -248,7 +261,7 @@ def contaminated(
             "doc_id",
             "item_id",
             F.col("best.start").cast("long").alias("start"),
-            F.col("best.m").cast("long").alias("n_words"),
+            F.col("best.n_words").cast("long").alias("n_words"),
             F.col("best.similarity").alias("similarity"),
         )
     )
