@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wattloom.llm import prepare
 from wattloom.llm.decontamination import contaminated
+from wattloom.llm.filter_audit import filter_audit
 from wattloom.llm.jaccard_join import near_duplicates
 from wattloom.llm.packing import pack_documents
 from wattloom.llm.secret_scan import KINDS, count_of, find_secrets, written_spans
@@ -112,6 +113,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, by source."""
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_url_filter": op2_url_filter,
@@ -123,13 +129,61 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 _SPACES = "'[\\x20\\t-\\r]+'"
 _WORDS = f"list_filter(regexp_split_to_array({{0}}, {_SPACES}), lambda x: x <> '')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 ORACLE_SQL = {
+    "op13_filter_audit": f"""
+        WITH flags AS (
+            SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good,
+                   bool_or(coalesce(toxic = 1, false)) AS toxic
+            FROM labels GROUP BY doc_id
+        ), d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                   {_WORDS.format("coalesce(text, '')")} AS w,
+                   min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+            FROM documents
+        ), fails AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   len(w) < 50 AS fa, 100 * len(list_distinct(w)) < 65 * len(w) AS fb,
+                   100 * (length(t) - length(translate(t, '{_CAPITALS}', ''))) > 5 * length(t) AS fc,
+                   regexp_matches(t, '[#$%&*|]') AS fd, coalesce(doc_id > least, false) AS fe
+            FROM d LEFT JOIN flags USING (doc_id)
+        ), masks AS (
+            SELECT part, good, toxic, fa::INT + 2 * fb::INT + 4 * fc::INT + 8 * fd::INT + 16 * fe::INT AS mask,
+                   count(*) AS n FROM fails GROUP BY ALL
+        ), letters(letter, bit) AS (
+            VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+        ), orders AS (
+            SELECT p.letter || q.letter || r.letter || s.letter || t.letter AS filter_order
+            FROM letters p, letters q, letters r, letters s, letters t
+            WHERE p.bit | q.bit | r.bit | s.bit | t.bit = 31
+        ), steps AS (
+            SELECT filter_order, step, letter, bit,
+                   (SELECT coalesce(sum(e.bit), 0) FROM letters e
+                    WHERE strpos(filter_order, e.letter) < step)::INT AS earlier
+            FROM orders, range(1, 6) AS s(step) JOIN letters ON letter = substr(filter_order, step, 1)
+        ), counted AS (
+            SELECT part, filter_order, step::INT AS step, letter,
+                   coalesce(sum(n) FILTER (mask & (earlier | bit) = 0), 0)::BIGINT AS kept,
+                   coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit > 0), 0)::BIGINT AS removed,
+                   coalesce(sum(n) FILTER (mask & earlier > 0 AND mask & bit > 0), 0)::BIGINT AS redundant,
+                   coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+                   coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit > 0 AND good), 0)::BIGINT
+                       AS good_lost,
+                   coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit > 0 AND toxic), 0)::BIGINT
+                       AS toxic_lost
+            FROM masks, steps GROUP BY ALL
+        )
+        SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+        FROM counted
+    """,
     "op3_jaccard_join": f"""
         WITH RECURSIVE d AS (
             SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents
