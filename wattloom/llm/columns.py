@@ -65,10 +65,22 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), "[\\x20\\t-\\r]+"), "")
 
 
+def _varies(kind: T.DataType) -> bool:
+    """Arrays, and structs with texts or arrays, whose size is not in their type."""
+    if isinstance(kind, T.StructType):
+        flat = (T.StringType, T.BinaryType, T.ArrayType)
+        return any(isinstance(f.dataType, flat) or _varies(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.ArrayType)
+
+
 def _bytes(value: Column, kind: T.DataType) -> Column:
     """Bytes of a value: 8 for a number, texts and arrays by their length."""
     if isinstance(kind, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+    if isinstance(kind, T.ArrayType) and _varies(kind.elementType):
+        return F.coalesce(total(F.transform(value, lambda x: _bytes(x, kind.elementType).cast("long"))), F.lit(0)) + 16
+    if isinstance(kind, T.StructType) and _varies(kind):
+        return sum((_bytes(value[f.name], f.dataType) for f in kind.fields), F.lit(8))
     if isinstance(kind, T.ArrayType):
         width = 8 * len(kind.elementType) if isinstance(kind.elementType, T.StructType) else 8
         return F.coalesce(F.size(value), F.lit(0)) * (width + 8) + 16
@@ -76,7 +88,7 @@ def _bytes(value: Column, kind: T.DataType) -> Column:
 
 
 def if_small(df: DataFrame) -> DataFrame:
-    """A stored table of numbers, texts and flat arrays; marked for broadcast if it measures small."""
+    """A stored table of numbers, texts, arrays and structs; marked for broadcast if it measures small."""
     row = sum((_bytes(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(16))
     measured = df.agg(F.sum(row.cast("long"))).first()[0] or 0
     return F.broadcast(df) if measured <= BROADCAST_BYTES else df

@@ -10,6 +10,7 @@ from wattloom.llm import prepare
 from wattloom.llm.decontamination import contaminated
 from wattloom.llm.filter_audit import filter_audit
 from wattloom.llm.jaccard_join import near_duplicates
+from wattloom.llm.merkle import folded, leaf_hash, merkle_manifest, siblings
 from wattloom.llm.packing import pack_documents
 from wattloom.llm.secret_scan import KINDS, count_of, find_secrets, written_spans
 from wattloom.llm.substring_dedup import remove_repeats
@@ -21,6 +22,8 @@ from wattloom.llm.url_filter import Rule, judge_urls
 from wattloom.workspace import new_path
 
 TOKEN_LIMIT = 512
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 URL_RULES = [
     Rule("allow", "com", "/"),
     Rule("block", "example.com", "/en/"),
@@ -113,6 +116,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents; a fifth of them verified after tampering."""
+    docs = _table(spark, sf_dir, "documents")
+    leaf = leaf_hash(*[F.col(c) for c in LEAF_FIELDS])
+    lowered = F.translate("text", _CAPITALS, _CAPITALS.lower())
+    changed = leaf_hash(*[lowered if c == "text" else F.col(c) for c in LEAF_FIELDS])
+    is_chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = merkle_manifest(docs, leaf, carry={"tampered": F.when(is_chosen, changed)})
+    refolded = folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
+        refolded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters in all 120 orders, by source."""
     return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -129,6 +151,7 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -136,9 +159,74 @@ _SPACES = "'[\\x20\\t-\\r]+'"
 _WORDS = f"list_filter(regexp_split_to_array({{0}}, {_SPACES}), lambda x: x <> '')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(_field_sql(text if c == 'text' else c) for c in LEAF_FIELDS)})"
+
+
+# Unsigned crc32 of an id as text, a bit at a time.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, c: list_reduce(
+        list_concat([xor(a, c)], list_transform(range(8), lambda i: 0::BIGINT)),
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
+def _climb_sql(name: str, leaves: str) -> str:
+    """Nodes ``tree, level, pos, node, n`` of all levels above ``leaves``."""
+    return f"""{name} AS (
+        SELECT tree, 0 AS level, pos, node, n FROM {leaves}
+        UNION ALL
+        SELECT tree, level + 1, pos // 16, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 15) // 16
+        FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 16
+    ), {name}_around AS (
+        SELECT tree, level, pos, node, n,
+               coalesce(string_agg(node, '') OVER (before ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+               coalesce(string_agg(node, '') OVER (before ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+        FROM {name} WINDOW before AS (PARTITION BY tree, level, pos // 16 ORDER BY pos)
+    )"""
+
 
 ORACLE_SQL = {
+    "op11_merkle_manifest": f"""
+        WITH RECURSIVE rows AS (
+            SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf_sql("text")} AS leaf,
+                   CASE WHEN {_CRC32} % 5 = 0
+                        THEN {_leaf_sql(f"translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}')")} END AS tampered
+            FROM documents
+        ), places AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                   count(*) OVER (PARTITION BY tree) AS n FROM rows
+        ), leaves AS (
+            SELECT tree, pos, leaf AS node, n FROM places
+        ), {_climb_sql("nodes", "leaves")}, subroots AS (
+            SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, node, count(*) OVER () AS n,
+                   tree AS of FROM nodes WHERE n = 1
+        ), {_climb_sql("tops", "subroots")}, root AS (
+            SELECT node AS root FROM tops WHERE n = 1
+        ), paths AS (
+            SELECT tree, p.pos, level, l, r FROM places p JOIN nodes_around a USING (tree)
+            WHERE a.n > 1 AND a.pos = p.pos // (16 ** level)::BIGINT
+            UNION ALL
+            SELECT s.of, p.pos, 100 + level, l, r
+            FROM places p JOIN subroots s ON s.of = p.tree JOIN tops_around a ON a.n > 1
+             AND a.pos = s.pos // (16 ** level)::BIGINT
+        ), proofs AS (
+            SELECT tree, pos, string_agg(l || r, '' ORDER BY level) AS proof,
+                   list(l || '|' || r ORDER BY level) AS steps FROM paths GROUP BY tree, pos
+        )
+        SELECT doc_id, leaf, s.node AS subroot, root, sha256(coalesce(proof, '')) AS proof_sha256,
+               list_reduce(list_concat([coalesce(tampered, leaf)], coalesce(steps, [])),
+                           lambda a, x: sha256(split_part(x, '|', 1) || a || split_part(x, '|', 2))) AS folded_root,
+               folded_root = root AS verified
+        FROM places JOIN subroots s ON s.of = places.tree CROSS JOIN root
+             LEFT JOIN proofs ON proofs.tree = places.tree AND proofs.pos = places.pos
+    """,
     "op13_filter_audit": f"""
         WITH flags AS (
             SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good,
