@@ -402,12 +402,21 @@ def _expanded(blocks: DataFrame, above: DataFrame, carry: Sequence[str]) -> Data
     )
 
 
-def _with_paths(rounds: list[DataFrame], roots: DataFrame, carry: Sequence[str]) -> DataFrame:
-    """All leaves with their path; ``roots`` has ``tree, above, subroot``: each tree's root and its path."""
+def _with_paths(rounds: list[DataFrame], roots: DataFrame | None, carry: Sequence[str]) -> DataFrame:
+    """All leaves with their path.
+
+    ``roots`` has ``tree, above, subroot``, the root of each tree and the path from there
+    on; without it, paths end there.
+    """
     above = None
     for level, blocks in reversed(list(enumerate(rounds, start=1))):
         ended = blocks.where(F.col("size") <= WAYS ** (LEVELS * level)).select("tree", "block")
-        tops = ended.join(if_small(roots), "tree").select("tree", "block", "above", "subroot")
+        if roots is None:
+            tops = ended.select(
+                "tree", "block", F.array().cast(PATH_TYPE).alias("above"), F.lit("").alias("subroot")
+            )
+        else:
+            tops = ended.join(if_small(roots), "tree").select("tree", "block", "above", "subroot")
         above = materialize(tops if above is None else tops.unionByName(above), "above")
         nodes = _expanded(blocks, above, carry if level == 1 else ())
         above = nodes.select("tree", F.col("rank").alias("block"), F.col("path").alias("above"), "subroot")
@@ -452,11 +461,8 @@ def merkle_manifest(
     forest = ordered.select(F.lit("").alias("tree"), "rank", F.lit(groups).alias("size"), "leaf", F.col("tree").alias("of"))
     forest_rounds, root = _climb(forest, ["of"])
     top = root.first()
-    end = documents.sparkSession.range(1).select(
-        F.lit("").alias("tree"), F.array().cast(PATH_TYPE).alias("above"), F.lit("").alias("subroot")
-    )
     roots = materialize(
-        _with_paths(forest_rounds, end, ["of"]).select(
+        _with_paths(forest_rounds, None, ["of"]).select(
             F.col("of").alias("tree"), F.col("path").alias("above"), F.col("leaf").alias("subroot")
         ),
         "roots",

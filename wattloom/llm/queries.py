@@ -10,6 +10,7 @@ from wattloom.llm import prepare
 from wattloom.llm.decontamination import contaminated
 from wattloom.llm.filter_audit import filter_audit
 from wattloom.llm.jaccard_join import near_duplicates
+from wattloom.llm.language_id import language_ids
 from wattloom.llm.merkle import folded, leaf_hash, merkle_manifest, siblings
 from wattloom.llm.packing import pack_documents
 from wattloom.llm.secret_scan import KINDS, count_of, find_secrets, written_spans
@@ -135,6 +136,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    return language_ids(_table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters in all 120 orders, by source."""
     return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -152,6 +158,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_language_id": op12_language_id,
     "op13_filter_audit": op13_filter_audit,
 }
 
