@@ -1,9 +1,14 @@
+import json
+import subprocess
+import sys
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from wattloom.functions.missing import complete_rows, nan_to_null
+from wattloom.operators import clean
 from wattloom.operators.clean import (
     clean_readings,
     dedupe,
@@ -11,6 +16,7 @@ from wattloom.operators.clean import (
     export_columns,
     validate_for_scoring,
 )
+from wattloom.operators.profile import duplicate_count
 from wattloom.schema import READING_SCHEMA
 
 NAN = float("nan")
@@ -130,3 +136,73 @@ def test_export_and_nan_to_null(spark):
     df = table(spark, reading(DC_POWER=NAN))
     assert export_columns(df, ["PLANT_ID", "HOUR"]).columns == ["PLANT_ID", "HOUR"]
     assert nan_to_null(df).first()["DC_POWER"] is None
+
+
+def wide(spark, n):
+    """Random rows of 12 columns; ``n`` of them."""
+    values = [F.rand(i).alias(f"v{i}") for i in range(10)]
+    return spark.range(n).select("id", *values, F.sha2(F.col("id").cast("string"), 256).alias("text"))
+
+
+@pytest.mark.parametrize("digest_first", [True, False, None])
+def test_dedupe_of_wide_rows(spark, digest_first):
+    rows = wide(spark, 300)
+    again = rows.where("id % 7 = 0")
+    odd = [reading(DC_POWER=NAN), reading(DC_POWER=None), reading(DC_POWER=0.0), reading(DC_POWER=-0.0)]
+    many = rows.unionAll(again).unionAll(again.where("id % 3 = 0"))
+    once = dedupe(many, digest_first)
+    assert once.columns == rows.columns
+    assert once.exceptAll(rows).count() == rows.exceptAll(once).count() == 0
+    assert duplicate_count(many, digest_first).first()[0] == many.count() - 300
+    assert dedupe(table(spark, *odd, *odd), digest_first).count() == 3
+    assert duplicate_count(table(spark, *odd, *odd), digest_first).first()[0] == 5
+    assert dedupe(rows.limit(0), digest_first).count() == 0
+
+
+def test_rows_of_one_digest_are_compared_in_full(spark, monkeypatch):
+    monkeypatch.setattr(clean, "_digest_columns", lambda df: {c: F.lit(1).cast("long") for c in clean._DIGESTS})
+    rows = wide(spark, 20)
+    assert dedupe(rows.unionAll(rows), True).count() == 20
+    assert duplicate_count(rows.unionAll(rows), True).first()[0] == 20
+
+
+def test_many_repeated_digests_are_merged_as_usual(spark, monkeypatch):
+    monkeypatch.setattr(clean, "BROADCAST_BYTES", 0)
+    rows = wide(spark, 50)
+    assert dedupe(rows.unionAll(rows), True).count() == 50
+
+
+def shuffled_bytes(folder):
+    """Shuffle bytes of all tasks in the event logs of a folder."""
+    written = 0
+    for log in Path(folder).rglob("*"):
+        if log.is_file() and not log.name.endswith(".crc"):
+            for line in log.read_text().splitlines():
+                event = json.loads(line)
+                metrics = event.get("Task Metrics") or {}
+                written += metrics.get("Shuffle Write Metrics", {}).get("Shuffle Bytes Written", 0)
+    return written
+
+
+def test_unique_wide_rows_hardly_move(tmp_path):
+    """In a session of its own, whose event log has the bytes."""
+    sizes = {}
+    for way in ("True", "False"):
+        logs = tmp_path / way
+        logs.mkdir()
+        script = f"""
+from pyspark.sql import SparkSession
+from tests.test_clean import wide
+from wattloom.operators.clean import dedupe
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+    .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://{logs}")
+    .config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false")
+    .config("spark.sql.shuffle.partitions", "4").config("spark.checkpoint.dir", "{tmp_path}/shared").getOrCreate())
+wide(spark, 20000).write.mode("overwrite").parquet("{tmp_path}/wide")
+assert dedupe(spark.read.parquet("{tmp_path}/wide"), {way}).count() == 20000
+spark.stop()
+"""
+        root = str(Path(__file__).resolve().parents[1])
+        subprocess.run([sys.executable, "-c", script], check=True, cwd=root, timeout=300, capture_output=True)
+        sizes[way] = shuffled_bytes(logs)
+    assert 0 < 4 * sizes["True"] < sizes["False"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.test_clean import NAN, reading, table
 from wattloom.operators.metrics import regression_metrics
 from wattloom.operators.model import (
+    dealt_rows,
     feature_importance,
     load_model,
     model_features,
@@ -15,6 +16,7 @@ from wattloom.operators.model import (
     save_model,
     score_readings,
     train_power_model,
+    training_layout,
 )
 from wattloom.plans.telemetry import readings, telemetry_view
 from wattloom.plans.telemetry import table as source
@@ -165,3 +167,46 @@ def test_partitions_are_those_of_the_model_not_of_the_session(spark, data):
         Pipeline.fit = original
     text = plan[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in text and ", 5" in text
+
+
+def test_equal_rows_spread_over_partitions(spark):
+    hot = spark.range(0, 6000, 1, 3).select(F.lit(1.5).alias("a"), F.lit(2).alias("b"))
+    rows = hot.unionByName(spark.range(6000).select(F.col("id").cast("double").alias("a"), F.lit(3).alias("b")))
+    dealt = dealt_rows(rows, 12).withColumn("part", F.spark_partition_id())
+    sizes = [r["count"] for r in dealt.where("b = 2").groupBy("part").count().collect()]
+    assert sum(sizes) == 6000 and len(sizes) == 12 and max(sizes) < 1500
+    assert dealt.drop("part").exceptAll(rows).count() == rows.exceptAll(dealt.drop("part")).count() == 0
+
+
+def test_many_copies_are_counted_out_in_arrays(spark, monkeypatch):
+    from wattloom.operators import model as module
+
+    monkeypatch.setattr(module, "_COPIES_AT_ONCE", 3)
+    monkeypatch.setattr(module, "_COPIES_IN_ARRAY", 4)
+    rows = spark.range(53).select((F.col("id") % 5 == 4).cast("int").alias("a"))
+    dealt = dealt_rows(rows, 4)
+    assert sorted(r["a"] for r in dealt.collect()) == sorted(r["a"] for r in rows.collect())
+
+
+def test_equal_rows_give_the_same_forest_from_any_layout(spark, data):
+    rows = data.unionByName(data.limit(1).crossJoin(spark.range(500)).drop("id"))
+    fits = [train_power_model(rows.repartition(n), num_trees=3, max_depth=4, partitions=5) for n in (1, 6)]
+    one, two = (
+        sorted(tuple(r) for r in predictions_table(m, data).select("SOURCE_KEY", "PREDICTED_POWER").collect())
+        for m in fits
+    )
+    assert one == two
+
+
+def test_layout_is_kept_with_the_model(spark, data, tmp_path, monkeypatch):
+    from wattloom.operators import model as module
+
+    monkeypatch.setattr(module, "ROWS_PER_PARTITION", 20)
+    fitted = train_power_model(data, num_trees=1, max_depth=1)
+    n = data.count()
+    assert training_layout(fitted) == {"partitions": -(-n // 20), "rows": n, "row_id": []}
+    path = str(tmp_path / "model")
+    save_model(fitted, path)
+    assert training_layout(load_model(path)) == training_layout(fitted)
+    bare = Pipeline(stages=[]).fit(data)
+    assert training_layout(bare) is None

@@ -136,3 +136,62 @@ def test_later_passes_skip_rows_in_the_scan(spark):
     plan = tagged._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in plan and "GreaterThanOrEqual(x,10.0)" in plan
     assert tagged.count() == 11
+
+
+def even(spark, n):
+    return spark.range(n).select((F.col("id") * 7919 % n).cast("double").alias("x"))
+
+
+def decades(spark, n):
+    return spark.range(n).select(F.pow(F.lit(10.0), F.col("id") / n * 600 - 300).alias("x"))
+
+
+def clusters(spark, n):
+    far = F.when(F.col("id") % 2 == 0, 0.0).otherwise(1e15)
+    return spark.range(n).select((far + F.col("id") / n).alias("x"))
+
+
+def ties(spark, n):
+    return spark.range(n).select(F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id") / 7).alias("x"))
+
+
+@pytest.mark.parametrize("build", [even, decades, clusters, ties])
+@pytest.mark.parametrize("limit", [40, 65_536])
+def test_three_reads_whatever_the_values(spark, monkeypatch, build, limit):
+    n = 120_000
+    df = materialize(build(spark, n), "numbers")
+    values = np.sort(np.array([r["x"] for r in df.collect()]))
+    reads = []
+    for name in ("_ranges_and_sketches", "_sketched", "_narrow_all", "_zoom_all", "_pick_all"):
+        original = getattr(order_stats, name)
+        monkeypatch.setattr(order_stats, name, lambda *a, o=original, n=name: (reads.append(n), o(*a))[1])
+    got = exact_quantiles(df, ["x"], [0.0, 0.25, 0.5, 0.8, 1.0], candidate_limit=limit)
+    assert len(reads) <= 3, reads
+    for p in (0.0, 0.25, 0.5, 0.8, 1.0):
+        assert got[("x", p)] == pytest.approx(np.quantile(values, p), rel=1e-12)
+
+
+def test_counts_come_with_narrow_brackets(spark):
+    df = materialize(ties(spark, 60_000), "numbers")
+    values = sorted(r["x"] for r in df.collect())
+    ranks = [0, 10, 30_000, 59_999, values.index(5.0), values.index(5.0) + 1000]
+    got = select_ranks(df, {"x": ranks}, column_ranges(df, ["x"]), candidate_limit=10)
+    for rank in ranks:
+        value = values[rank]
+        assert tuple(got[("x", rank)]) == (value, values.index(value), values.count(value))
+
+
+def test_wrong_sketches_are_found_out(spark):
+    df = materialize(even(spark, 5_000), "numbers")
+    ranges = column_ranges(df, ["x"])
+    for values in ([10.0, 20.0], [4_000.0, 4_100.0]):
+        got = select_ranks(df, {"x": [2_500]}, ranges, 50, {"x": ([0.5], values)})
+        assert tuple(got[("x", 2_500)]) == (2_500.0, 2_500, 1)
+
+
+def test_histograms_without_a_sketch(spark):
+    df = materialize(decades(spark, 5_000), "numbers")
+    values = sorted(r["x"] for r in df.collect())
+    search = order_stats._Search("x", 1_234, values[0], values[-1], len(values))
+    order_stats._zoom_and_pick(df, [search], 20)
+    assert (search.low, search.below, search.inside) == (values[1_234], 1_234, 1)

@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 import pytest
@@ -14,6 +15,7 @@ from wattloom.operators.prepare import (
     union_sources,
 )
 from wattloom.plans.offline import feature_table, load_plants, master_table
+from wattloom.workspace import materialize
 
 NAN = float("nan")
 
@@ -245,3 +247,59 @@ def test_raw_files_to_features(spark, tmp_path):
         "inv-b": (at(6), 21.0, 0.5, 0, "Friday", 4, 9.0),
         "inv-c": (at(6), 25.0, 0.7, 1, "Friday", 4, 4.0),
     }
+
+
+def pushed(df):
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.maxMetadataStringLength")
+    conf.set("spark.sql.maxMetadataStringLength", "4000")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        conf.set("spark.sql.maxMetadataStringLength", before)
+    return " ".join(re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan))
+
+
+@pytest.mark.parametrize("broadcast_bytes", [64 * 1024 * 1024, 0])
+def test_key_ranges_reach_the_scan_of_the_facts(spark, broadcast_bytes):
+    facts = spark.range(1000).select(
+        F.col("id").alias("key"), F.concat(F.lit("k"), F.col("id") % 10).alias("name"), F.lit(1.0).alias("x")
+    )
+    facts = materialize(facts, "facts")
+    lookup = spark.range(200, 300).select(
+        F.col("id").alias("key"), F.concat(F.lit("k"), F.col("id") % 10).alias("name"), F.col("id").alias("y")
+    )
+    joined = lookup_join(
+        facts, lookup.where("name <= 'k4'"), ["key", "name"], broadcast_bytes=broadcast_bytes, facts_stored=True
+    )
+    assert joined.count() == 50
+    text = pushed(joined)
+    assert "GreaterThanOrEqual(key,200)" in text and "LessThanOrEqual(key,294)" in text
+    assert "LessThanOrEqual(name,k4)" in text
+    outer = lookup_join(facts, lookup, ["key", "name"], "left", broadcast_bytes=broadcast_bytes, facts_stored=True)
+    assert outer.count() == 1000
+    none = lookup_join(facts, lookup.where("key < 0"), ["key", "name"], broadcast_bytes=broadcast_bytes)
+    assert none.count() == 0 and none.columns == ["key", "name", "x", "y"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_hours_of_the_weather_reach_the_scan_of_the_readings(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        hours = spark.sql("SELECT explode(sequence(0, 71)) AS h")
+        # The night in which clocks are set back in one of the zones.
+        at = F.to_timestamp(F.lit("2024-11-02 00:00:00")) + F.make_interval(hours="h", mins=F.lit(30))
+        generation = materialize(hours.select(at.alias("DATE_TIME"), F.lit(1).alias("PLANT_ID"), "h"), "readings")
+        weather = generation.where("h BETWEEN 20 AND 30").select(
+            "DATE_TIME", "PLANT_ID", *[F.lit(1.0).alias(m) for m in ("AMBIENT_TEMPERATURE", "MODULE_TEMPERATURE", "IRRADIATION")]
+        )
+        master = build_master(generation, hourly_weather(weather))
+        text = pushed(master)
+        assert sorted(r["h"] for r in master.collect()) == list(range(20, 31))
+        assert "GreaterThanOrEqual(DATE_TIME," in text and "LessThan(DATE_TIME," in text
+        assert "LessThanOrEqual(PLANT_ID,1)" in text
+        none = build_master(generation, hourly_weather(weather.limit(0)))
+        assert none.count() == 0 and none.columns == master.columns
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 from itertools import groupby
 
 from pyspark.sql import Column
@@ -73,23 +74,26 @@ def _shape(fmt: str) -> str | None:
     return "^" + "".join(parts) + "$"
 
 
-def _dated_shape(fmt: str) -> str:
+def _dated_case(text: Column, fmt: str) -> tuple[Column, Column]:
+    """Test and parse of a date with a 24-hour clock or none, or with a 12-hour clock."""
     date, late, early = (_shape(f)[1:-1] for f in (fmt, CLOCK_24, CLOCK_12))
-    return f"^{date}({late}|{early})$"
+    of_day, of_half = (F.try_to_timestamp(text, F.lit(fmt + c)) for c in (CLOCK_24, CLOCK_12))
+    parsed = F.when(text.rlike("[mM]$"), of_half).otherwise(of_day)
+    return text.rlike(f"^{date}({late}|{early})$"), parsed
 
 
 def _tries(text: Column, formats: Sequence[str]) -> list[Column]:
-    """One parse for each run of formats of known shape, and one for any other format.
+    """One chain of shape tests for each run of formats of known shape, one parse for any other format.
 
     The shape of the text says which format of a run can read it.  A failed parse costs an
-    exception per row; the shape tests are far cheaper.
+    exception per row; the shape tests are far cheaper, and a format that is the same for all
+    rows is prepared once.
     """
     tries: list[Column] = []
     for dated, run in groupby(formats, lambda f: isinstance(f, Dated)):
         if dated:
-            date = F.coalesce(*[F.when(text.rlike(_dated_shape(f)), F.lit(str(f))) for f in run])
-            clock = F.when(text.rlike("(?i)[ap]m$"), F.lit(CLOCK_12)).otherwise(F.lit(CLOCK_24))
-            tries.append(F.try_to_timestamp(text, F.concat(date, clock)))
+            cases = [_dated_case(text, f) for f in run]
+            tries.append(reduce(lambda rest, case: F.when(*case).otherwise(rest), reversed(cases), F.lit(None)))
             continue
         for fmt in run:
             if fmt == ISO:

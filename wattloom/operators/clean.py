@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattloom.functions.missing import all_of, complete_rows, nan_to_null
 from wattloom.functions.times import parse_event_time
+from wattloom.operators.lookup_join import BROADCAST_BYTES, table_bytes
 from wattloom.schema import (
     NON_NEGATIVE_COLUMNS,
     READING_SCHEMA,
     REQUIRED_COLUMNS,
     SCORING_REQUIRED,
 )
+from wattloom.workspace import materialize
+
+# Bytes of a row from which on a digest of it is much smaller.
+WIDE_ROW = 64
+_DIGESTS = ("_digest_1", "_digest_2")
 
 
 def enforce_types(df: DataFrame, schema: T.StructType = READING_SCHEMA) -> DataFrame:
@@ -73,13 +79,47 @@ def validate_for_scoring(
     return df.where(all_of(tests))
 
 
-def dedupe(df: DataFrame) -> DataFrame:
+def is_wide(df: DataFrame) -> bool:
+    """True if a row takes much more room than a digest of it: more than eight columns or so."""
+    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    return sum(8 if isinstance(f.dataType, fixed) else 24 for f in df.schema.fields) > WIDE_ROW
+
+
+def _digest_columns(df: DataFrame) -> dict[str, Column]:
+    columns = [F.col(c) for c in df.columns]
+    return dict(zip(_DIGESTS, (F.xxhash64(*columns), F.xxhash64(F.lit(_DIGESTS[1]), *columns))))
+
+
+def repeated_digests(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``df`` with a 128-bit digest of each row, and the stored digests of more than one row.
+
+    Equal rows have equal digests (null equals null, NaN equals NaN); the reverse is
+    left to whoever compares the rows of a repeated digest.
+    """
+    digested = df.withColumns(_digest_columns(df))
+    counts = digested.groupBy(*_DIGESTS).agg(F.count("*").alias("_copies"))
+    return digested, materialize(counts.where("_copies > 1").select(*_DIGESTS), "repeated")
+
+
+def dedupe(df: DataFrame, digest_first: bool | None = None) -> DataFrame:
     """Drop exact duplicate rows; null equals null and NaN equals NaN.
 
-    Copies are merged map-side before the shuffle, so a group of many copies
-    reaches its reducer as one row per map task.
+    Copies are merged map-side before the shuffle, so a group of many copies reaches its
+    reducer as one row per map task.  ``digest_first`` counts digests of the rows before,
+    so that whole rows move only if their digest repeats, and are then compared in full;
+    the others stay where they are.  It reads the table twice, which should thus be stored,
+    and is the default for wide rows.  Where so many digests repeat that they cannot be
+    broadcast, all rows are merged as usual.
     """
-    return df.dropDuplicates()
+    if not (is_wide(df) if digest_first is None else digest_first):
+        return df.dropDuplicates()
+    digested, repeated = repeated_digests(df)
+    if table_bytes(repeated) > BROADCAST_BYTES:
+        return df.dropDuplicates()
+    keys = F.broadcast(repeated)
+    once = digested.join(keys, list(_DIGESTS), "left_anti").select(df.columns)
+    several = digested.join(keys, list(_DIGESTS), "left_semi").select(df.columns)
+    return once.unionByName(several.dropDuplicates())
 
 
 def export_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

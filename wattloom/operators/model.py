@@ -15,11 +15,15 @@ from wattloom.functions.missing import any_of, complete_rows, is_missing
 from wattloom.functions.times import parse_event_time
 from wattloom.operators.clean import validate_for_scoring
 from wattloom.schema import FEATURES, NON_NEGATIVE_COLUMNS, SCORING_REQUIRED, TARGET
-from wattloom.workspace import ensure_checkpoint_dir
+from wattloom.workspace import ensure_checkpoint_dir, exists
 
 PREDICTION = "PREDICTED_POWER"
-# Part of the model's definition, like its seed: changing it changes the trees.
-TRAINING_PARTITIONS = 32
+# Part of the model's definition, like its seed: other partitions give other trees.
+ROWS_PER_PARTITION, LEAST_PARTITIONS = 250_000, 8
+# Copies of equal rows that are dealt together, and copies that one array counts out.
+_COPIES_AT_ONCE, _COPIES_IN_ARRAY = 64, 1 << 18
+# Where a saved model keeps how its rows were dealt.
+_TRAINING = "training"
 
 
 def train_power_model(
@@ -29,17 +33,20 @@ def train_power_model(
     num_trees: int = 100,
     max_depth: int = 15,
     seed: int = 42,
-    partitions: int = TRAINING_PARTITIONS,
+    partitions: int | None = None,
     row_id: Sequence[str] = (),
     **forest_options,
 ) -> PipelineModel:
     """Fit the forest on complete rows; every split considers all features.
 
-    Trees draw their rows partition by partition, so the rows are dealt to ``partitions``
-    partitions by a hash of ``row_id`` (by default of all they hold) and sorted there:
-    the same rows give the same forest on any number of cores and from any layout.
-    Give ``row_id`` and more partitions for large tables.  Node ids are cached and checkpointed so that deep trees neither ship to all
-    executors at each level nor restart from scratch when one is lost.
+    Trees draw their rows partition by partition, so the rows are dealt by a hash and
+    sorted in their partition: the same rows give the same forest on any number of cores
+    and from any layout.  The hash is of ``row_id``, if given, which should be unique;
+    otherwise of all that a row holds and, for equal rows, of their number among their
+    equals, so that they spread as well.  ``partitions`` follows from the number of rows
+    unless it is given; :func:`training_layout` tells what it was.  Node ids are cached and
+    checkpointed so that deep trees neither ship to all executors at each level nor
+    restart from scratch when one is lost.
     """
     ensure_checkpoint_dir(df.sparkSession)
     options = {
@@ -52,13 +59,15 @@ def train_power_model(
     needed = [*features, target]
     ids = [c for c in row_id if c not in needed]
     typed = df.select(*features, F.col(target).cast("double").alias(target), *ids)
-    order = [*(row_id or ()), *(c for c in needed if c not in row_id)]
-    complete = (
-        complete_rows(typed, needed)
-        .repartition(partitions, F.xxhash64(*(row_id or needed)))
-        .sortWithinPartitions(*order)
-        .select(needed)
-    )
+    complete = complete_rows(typed, needed)
+    rows = complete.count()
+    if partitions is None:
+        partitions = max(LEAST_PARTITIONS, -(-rows // ROWS_PER_PARTITION))
+    if row_id:
+        order = [*row_id, *(c for c in needed if c not in row_id)]
+        dealt = complete.repartition(partitions, F.xxhash64(*row_id))
+    else:
+        order, dealt = needed, dealt_rows(complete, partitions)
     forest = RandomForestRegressor(
         featuresCol="_features",
         labelCol=target,
@@ -68,7 +77,40 @@ def train_power_model(
         seed=seed,
         **options,
     )
-    return Pipeline(stages=[_assembler(features), forest]).fit(complete)
+    stages = [_assembler(features), forest]
+    model = Pipeline(stages=stages).fit(dealt.sortWithinPartitions(*order).select(needed))
+    model.training = {"partitions": partitions, "rows": rows, "row_id": list(row_id)}
+    return model
+
+
+def dealt_rows(df: DataFrame, partitions: int) -> DataFrame:
+    """The rows of ``df`` dealt to partitions by a hash of what they hold.
+
+    Equal rows are counted, map-side first, and their copies dealt a few at a time, so a
+    row that is a third of the table lands in all partitions and no task lists more of
+    its copies than others.  Which copies a partition gets does not depend on the layout
+    of ``df``.
+    """
+    upto = lambda n, size: F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / size))
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    per_array = _COPIES_AT_ONCE * _COPIES_IN_ARRAY
+    pieces = (
+        counted.withColumn("_array", F.explode(upto(F.col("_copies"), per_array)))
+        .withColumn("_left", F.least(F.col("_copies") - F.col("_array") * per_array, F.lit(per_array)))
+        .withColumn("_piece", F.explode(upto(F.col("_left"), _COPIES_AT_ONCE)))
+    )
+    left = F.least(F.col("_left") - F.col("_piece") * _COPIES_AT_ONCE, F.lit(_COPIES_AT_ONCE))
+    return (
+        pieces.withColumn("_own", left)
+        .repartition(partitions, F.xxhash64(*df.columns, "_array", "_piece"))
+        .select(*df.columns, F.explode(F.array_repeat(F.lit(0), F.col("_own").cast("int"))).alias("_copy"))
+        .drop("_copy")
+    )
+
+
+def training_layout(model: PipelineModel) -> dict | None:
+    """Partitions, rows and row id that the model was fitted with, if they are known."""
+    return getattr(model, "training", None)
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -134,8 +176,19 @@ def feature_importance(model: PipelineModel) -> DataFrame:
 
 
 def save_model(model: PipelineModel, path: str) -> None:
+    """Save the model and, beside it, how its rows were dealt."""
     model.write().overwrite().save(path)
+    layout = training_layout(model)
+    if layout is not None:
+        spark = SparkSession.active()
+        rows = [(layout["partitions"], layout["rows"], layout["row_id"])]
+        table = spark.createDataFrame(rows, "partitions int, rows long, row_id array<string>")
+        table.coalesce(1).write.mode("overwrite").parquet(f"{path}/{_TRAINING}")
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    model = PipelineModel.load(path)
+    spark = SparkSession.active()
+    if exists(spark, f"{path}/{_TRAINING}"):
+        model.training = spark.read.parquet(f"{path}/{_TRAINING}").first().asDict()
+    return model

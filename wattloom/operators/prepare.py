@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from wattloom.functions.missing import all_of, present
 from wattloom.functions.ranking import with_global_index
 from wattloom.functions.times import day_name, floor_hour, weekend_flag
-from wattloom.operators.lookup_join import BROADCAST_BYTES, lookup_join
+from wattloom.operators.lookup_join import BROADCAST_BYTES, key_range, lookup_join, within_key_ranges
 from wattloom.schema import TARGET, WEATHER_MEASURES
+from wattloom.workspace import materialize
 
 
 def union_sources(*frames: DataFrame) -> DataFrame:
@@ -43,18 +44,35 @@ def build_master(
     keys: Sequence[str] = ("PLANT_ID",),
     keep_original_time: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    generation_stored: bool = False,
+    prune: bool = True,
 ) -> DataFrame:
     """Readings floored to the hour, each with its plant's weather; others are dropped.
 
     Flooring makes equal readings of one hour duplicates of each other, which a
     later ``dedupe`` merges; ``keep_original_time`` keeps the unfloored time in
-    ``ORIGINAL_TIME`` so that it does not.
+    ``ORIGINAL_TIME`` so that it does not.  Readings outside the hours and plants of
+    all weather are left out by plain tests, which reach the scan; ``prune=False`` spares
+    times that are parsed from text the test.  ``generation_stored`` says that the
+    readings are cheap to read again.
     """
+    stored = materialize(weather_by_hour, "lookup")
+    if prune:
+        generation = within_key_ranges(generation, stored, keys)
+        hours, t = key_range(stored, time_column), F.col(time_column)
+        if hours is not None:
+            generation = generation.where((t >= hours[0]) & (t < hours[1] + F.expr("INTERVAL 1 HOUR")))
     if keep_original_time:
         generation = generation.withColumn("ORIGINAL_TIME", F.col(time_column))
     floored = generation.withColumn(time_column, floor_hour(time_column))
     return lookup_join(
-        floored, weather_by_hour, [time_column, *keys], broadcast_bytes=broadcast_bytes
+        floored,
+        stored,
+        [time_column, *keys],
+        broadcast_bytes=broadcast_bytes,
+        lookup_stored=True,
+        facts_stored=generation_stored,
+        prune=False,
     )
 
 

@@ -14,7 +14,10 @@ from wattloom.functions.order_stats import (
     CANDIDATE_LIMIT,
     approximate_quantiles,
     exact_quantiles,
+    sketch,
 )
+from wattloom.operators.clean import is_wide, repeated_digests
+from wattloom.operators.lookup_join import BROADCAST_BYTES, table_bytes
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -54,9 +57,18 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     )
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row: all but one of every group of equal rows."""
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+def duplicate_count(df: DataFrame, digest_first: bool | None = None) -> DataFrame:
+    """Rows that repeat an earlier row: all but one of every group of equal rows.
+
+    ``digest_first``, the default for wide rows, compares whole rows only where their
+    digest repeats, as :func:`~wattloom.operators.clean.dedupe` does.
+    """
+    columns = df.columns
+    if is_wide(df) if digest_first is None else digest_first:
+        digested, repeated = repeated_digests(df)
+        if table_bytes(repeated) <= BROADCAST_BYTES:
+            df = digested.join(F.broadcast(repeated), repeated.columns, "left_semi").select(columns)
+    groups = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
     return groups.agg(
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("DUPLICATE_ROWS")
     )
@@ -149,6 +161,10 @@ def _ranges(moments, columns: Sequence[str]) -> dict[str, tuple]:
     }
 
 
+def _sketches(moments, columns: Sequence[str]) -> dict:
+    return {c: moments[f"sketch_{i}"] for i, c in enumerate(columns)}
+
+
 def describe_columns(
     df: DataFrame,
     columns: Sequence[str],
@@ -167,12 +183,13 @@ def describe_columns(
                 "std": F.stddev_samp(present(df, c)),
                 "min": F.min(present(df, c)),
                 "max": F.max(present(df, c)),
+                **({"sketch": sketch(df, c, QUARTILES)} if exact else {}),
             }.items()
         ]
     ).first()
     if exact:
-        ranges = _ranges(moments, columns)
-        q = exact_quantiles(df, columns, QUARTILES, ranges, candidate_limit)
+        ranges, sketches = _ranges(moments, columns), _sketches(moments, columns)
+        q = exact_quantiles(df, columns, QUARTILES, ranges, candidate_limit, sketches)
     else:
         q = approximate_quantiles(df, columns, QUARTILES)
     rows = [
@@ -213,12 +230,13 @@ def describe_times(
                 "mean": F.avg(F.col(c).cast("decimal(20,0)")),
                 "min": F.min(c),
                 "max": F.max(c),
+                **({"sketch": sketch(micros, c, QUARTILES)} if exact else {}),
             }.items()
         ]
     ).first()
     if exact:
-        ranges = _ranges(moments, columns)
-        q = exact_quantiles(micros, columns, QUARTILES, ranges, candidate_limit)
+        ranges, sketches = _ranges(moments, columns), _sketches(moments, columns)
+        q = exact_quantiles(micros, columns, QUARTILES, ranges, candidate_limit, sketches)
     else:
         q = approximate_quantiles(micros, columns, QUARTILES)
     rows = [

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.missing import complete_rows
-from wattloom.functions.order_stats import CANDIDATE_LIMIT, select_ranks
+from wattloom.functions.order_stats import CANDIDATE_LIMIT, select_ranks, sketch
 from wattloom.functions.ranking import with_global_index
 
 
@@ -36,12 +36,16 @@ def time_split(
         F.count("t").alias("timed"),
         F.min("t").alias("first"),
         F.max("t").alias("last"),
+        sketch(micros, "t", [fraction]).alias("sketch"),
     ).first()
     train_rows = int(counted["rows"] * fraction)
 
     if train_rows < counted["timed"]:
         ranges = {"t": (counted["timed"], counted["first"], counted["last"])}
-        cut = select_ranks(micros, {"t": [train_rows]}, ranges, candidate_limit)[("t", train_rows)]
+        # Rows without a time move the rank among the others, so only a complete column was sketched at it.
+        sketches = {"t": ([fraction], counted["sketch"])} if counted["timed"] == counted["rows"] else None
+        found = select_ranks(micros, {"t": [train_rows]}, ranges, candidate_limit, sketches)
+        cut = found[("t", train_rows)]
         at = F.timestamp_micros(F.lit(cut.value)).cast(df.schema[time_column].dataType)
         earlier, boundary, later = t < at, t == at, (t > at) | t.isNull()
         remainder, ties = train_rows - cut.before, cut.copies

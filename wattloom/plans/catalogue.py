@@ -22,6 +22,7 @@ from wattloom.operators.clean import (
     export_columns,
     validate_for_scoring,
 )
+from wattloom.operators.date_order import ambiguous_dates, date_order_evidence, parse_by_evidence
 from wattloom.operators.metrics import regression_metrics
 from wattloom.operators.model import (
     feature_importance,
@@ -51,6 +52,7 @@ from wattloom.operators.profile import (
 )
 from wattloom.operators.reports import REPORTS
 from wattloom.operators.split import time_split
+from wattloom.operators.trees import forest_column
 from wattloom.plans import jobs
 from wattloom.plans.offline import feature_table, master_table, rejected_times
 from wattloom.plans.telemetry import (
@@ -80,6 +82,7 @@ from wattloom.schema import (
 from wattloom.sinks.files import write_csv
 from wattloom.sources.files import read_archive, read_csv, register_view, stream_files
 from wattloom.sources.messages import decode_messages
+from wattloom.streaming.rejects import LATEST, count_window_rejects, read_counts
 from wattloom.streaming.sinks import BATCH_ID, read_batches, run_available, table_batch_sink
 from wattloom.streaming.windows import running_totals, window_stats
 from wattloom.workspace import materialize, new_path, shuffle_partitions
@@ -238,6 +241,36 @@ def _mixed_timestamps(spark, sf_dir):
     )
 
 
+def _dated_orders(spark, sf_dir) -> DataFrame:
+    """Orders with a date as text; each priority is a source with an order of its own."""
+    orders = table(spark, sf_dir, "orders")
+    t, source = F.col("o_orderdate").cast("timestamp"), F.substring("o_orderpriority", 1, 1)
+    month, day = F.date_format(t, "MM/dd/yyyy HH:mm"), F.date_format(t, "dd/MM/yyyy HH:mm")
+    text = (
+        F.when(source == "1", month)
+        .when(source == "2", day)
+        .when(source == "3", F.when(F.col("o_orderkey") % 2 == 0, month).otherwise(day))
+        .when(source == "4", F.when(F.dayofmonth(t) <= 12, month))
+        .otherwise(F.date_format(t, "yyyy-MM-dd HH:mm"))
+    )
+    return orders.select("o_orderkey", "o_orderpriority", text.alias("DATE_TIME"))
+
+
+@query("date_order_evidence")
+def _date_order_evidence(spark, sf_dir):
+    return date_order_evidence(_dated_orders(spark, sf_dir), "DATE_TIME", ["o_orderpriority"])
+
+
+@query("dates_by_evidence")
+def _dates_by_evidence(spark, sf_dir):
+    return _zoneless(parse_by_evidence(_dated_orders(spark, sf_dir), "DATE_TIME", ["o_orderpriority"]))
+
+
+@query("ambiguous_dates")
+def _ambiguous_dates(spark, sf_dir):
+    return ambiguous_dates(_dated_orders(spark, sf_dir), "DATE_TIME", ["o_orderpriority"])
+
+
 # --- preparation ---
 
 
@@ -279,7 +312,7 @@ def _master_join_shuffled(spark, sf_dir):
     """The same join on the path taken when the weather is too large to broadcast."""
     view = _view(spark, sf_dir)
     master = build_master(
-        _generation(view), hourly_weather(_weather(view)), broadcast_bytes=0
+        _generation(view), hourly_weather(_weather(view)), broadcast_bytes=0, generation_stored=True
     )
     return _zoneless(_six(master, *WEATHER_MEASURES))
 
@@ -391,6 +424,24 @@ def _duplicate_lines(spark, sf_dir):
     return duplicate_count(_line_keys(spark, sf_dir))
 
 
+def _wide_lines(spark, sf_dir) -> DataFrame:
+    """All columns of the lines, some lines two or three times."""
+    lines = table(spark, sf_dir, "lineitem")
+    again = lines.where(F.col("l_orderkey") % 5 == 0)
+    return lines.unionAll(again).unionAll(again.where(F.col("l_linenumber") == 1))
+
+
+@query("dedupe_wide")
+def _dedupe_wide(spark, sf_dir):
+    """Whole lines, most of which are alone and never move."""
+    return dedupe(_wide_lines(spark, sf_dir)).select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+
+
+@query("duplicate_count_wide")
+def _duplicate_count_wide(spark, sf_dir):
+    return duplicate_count(_wide_lines(spark, sf_dir))
+
+
 @query("null_counts")
 def _missing_counts(spark, sf_dir):
     return null_counts(readings(_faulty(spark, sf_dir)))
@@ -489,6 +540,23 @@ def _stream_window_10s(spark, sf_dir):
 @query("stream_late_data")
 def _stream_late_data(spark, sf_dir):
     """Three restarts of one query; the last brings rows whose windows have closed."""
+    out, checkpoint = new_path(spark, "late"), new_path(spark, "late-checkpoint")
+    _with_late_rows(
+        spark,
+        sf_dir,
+        lambda events: jobs.window_job(
+            as_records(telemetry_view(events)),
+            table_batch_sink(out),
+            checkpoint,
+            size="1 hour",
+            trigger=AVAILABLE_NOW,
+        ),
+    )
+    return _closed_stats(read_batches(spark, out, window_schema()))
+
+
+def _with_late_rows(spark, sf_dir, start) -> None:
+    """Run a stream job over the events in three restarts; the first third's signups come last."""
     events = table(spark, sf_dir, "events")
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     ends = events.agg(F.min(micros).alias("first"), F.max(micros).alias("last")).first()
@@ -501,21 +569,30 @@ def _stream_late_data(spark, sf_dir):
         (micros >= two) | held_back,
     ]
     inbox = new_path(spark, "late-inbox")
-    out, checkpoint = new_path(spark, "late"), new_path(spark, "late-checkpoint")
     for arrived in arrivals:
         events.where(arrived).write.mode("append").parquet(inbox)
-        records = as_records(telemetry_view(stream_files(spark, inbox, events.schema)))
+        stream = stream_files(spark, inbox, events.schema)
         with shuffle_partitions(spark, STATE_PARTITIONS):
-            run_available(
-                jobs.window_job(
-                    records,
-                    table_batch_sink(out),
-                    checkpoint,
-                    size="1 hour",
-                    trigger=AVAILABLE_NOW,
-                )
-            )
-    return _closed_stats(read_batches(spark, out, window_schema()))
+            run_available(start(stream))
+
+
+@query("stream_rejects")
+def _stream_rejects(spark, sf_dir):
+    """What the hourly statistics leave out, batch by batch and by reason."""
+    out, checkpoint = new_path(spark, "rejects"), new_path(spark, "rejects-checkpoint")
+    _with_late_rows(
+        spark,
+        sf_dir,
+        lambda events: count_window_rejects(
+            decode_messages(as_records(faulty_view(events)), jobs.STATISTICS_FIELDS),
+            out,
+            checkpoint,
+            size="1 hour",
+            nan_as_null=True,
+            trigger=AVAILABLE_NOW,
+        ),
+    )
+    return read_counts(spark, out).drop(LATEST)
 
 
 @query("totals_batch")
@@ -729,6 +806,23 @@ def _ml_prediction_rows(spark, sf_dir):
     )
 
 
+@query("ml_expression")
+def _ml_expression(spark, sf_dir):
+    """The test rows, and whether the forest written out as an expression predicts the same values."""
+    train, test = _split(spark, sf_dir)
+    model = _stored_model(spark, train)
+    scored = model.transform(test.withColumn("WRITTEN_OUT", forest_column(model)))
+    return _zoneless(
+        scored.select(
+            "DATE_TIME",
+            "PLANT_ID",
+            "SOURCE_KEY",
+            F.col(TARGET).alias("ACTUAL_POWER"),
+            F.col("WRITTEN_OUT").eqNullSafe(F.col("PREDICTED_POWER")).alias("HAS_PREDICTION"),
+        )
+    )
+
+
 # One cut over columns of few values, on all rows: SQL can find the same one.
 STUMP_FEATURES = ["HOUR", "DAY_OF_WEEK"]
 STUMP = {"num_trees": 1, "max_depth": 1, "bootstrap": False}

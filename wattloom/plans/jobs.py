@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.operators.clean import clean_readings, enforce_types
 from wattloom.schema import NON_NEGATIVE_COLUMNS, READING_SCHEMA, REQUIRED_COLUMNS
+from wattloom.sinks.archive import DATE_COLUMNS, ROWS_PER_FILE
 from wattloom.sources.messages import decode_messages
 from wattloom.streaming.scoring import SCORING_TRIGGER, start_scoring
 from wattloom.streaming.sinks import ARCHIVE_TRIGGER, archive_stream, start_batches
@@ -33,12 +34,12 @@ def archive_job(
     path: str,
     checkpoint: str,
     trigger: Mapping | None = ARCHIVE_TRIGGER,
-    partition_by: Sequence[str] = ("YEAR", "MONTH", "DAY"),
-    files_per_date: int = 1,
+    partition_by: Sequence[str] = DATE_COLUMNS,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> StreamingQuery:
     """Decode every message, fix its types and append it to the archive, uncleaned."""
     readings = enforce_types(decode_messages(records, arrival=None))
-    return archive_stream(readings, path, checkpoint, trigger, partition_by, files_per_date)
+    return archive_stream(readings, path, checkpoint, trigger, partition_by, rows_per_file)
 
 
 def window_job(

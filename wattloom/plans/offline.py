@@ -46,7 +46,7 @@ def master_table(
         df.withColumn("DATE_TIME", parse_mixed_timestamp("DATE_TIME", formats, errors))
         for df in (generation, weather)
     )
-    return build_master(generation, hourly_weather(weather))
+    return build_master(generation, hourly_weather(weather), prune=False)
 
 
 def rejected_times(
@@ -64,7 +64,8 @@ def feature_table(master: DataFrame, target: Column) -> DataFrame:
     """Deduplicated readings with calendar columns, encoded source and target.
 
     The deduplicated table is stored, because the encoder reads it twice: its key
-    column for the codes, and whole for the result.
+    column for the codes, and whole for the result.  The master table itself is not, so
+    its rows are merged in one pass.
     """
-    featured = materialize(calendar_features(dedupe(master)), "featured")
+    featured = materialize(calendar_features(dedupe(master, digest_first=False)), "featured")
     return finalize_features(label_encode(featured, "SOURCE_KEY"), target)

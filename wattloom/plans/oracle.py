@@ -371,6 +371,48 @@ e AS (
     )
 
     # Profile
+    dated = """
+WITH o AS (
+  SELECT o_orderkey, o_orderpriority, substr(o_orderpriority, 1, 1) AS s, o_orderdate AS d FROM orders
+), w AS (
+  SELECT o_orderkey, o_orderpriority, d,
+    CASE WHEN s = '1' OR (s = '3' AND o_orderkey % 2 = 0) OR (s = '4' AND day(d) <= 12)
+         THEN strftime(d, '%m/%d/%Y %H:%M')
+         WHEN s IN ('2', '3') THEN strftime(d, '%d/%m/%Y %H:%M')
+         WHEN s = '5' THEN strftime(d, '%Y-%m-%d %H:%M') END AS DATE_TIME,
+    s IN ('1', '4') OR (s = '3' AND o_orderkey % 2 = 0) AS month_first, s
+  FROM o
+), kinds AS (
+  SELECT *, CASE WHEN DATE_TIME IS NULL THEN NULL WHEN s = '5' THEN 'other'
+                 WHEN month(d) = day(d) THEN 'same' WHEN day(d) <= 12 THEN 'either'
+                 WHEN month_first THEN 'month' ELSE 'day' END AS kind FROM w
+), evidence AS (
+  SELECT o_orderpriority,
+    count(*) FILTER (kind = 'month') AS MONTH_FIRST_ONLY, count(*) FILTER (kind = 'day') AS DAY_FIRST_ONLY,
+    count(*) FILTER (kind = 'either') AS EITHER_ORDER, count(*) FILTER (kind = 'same') AS SAME_IN_BOTH,
+    count(*) FILTER (kind = 'other') AS NOT_YEAR_LAST,
+    CASE WHEN bool_or(coalesce(kind = 'month', false)) AND bool_or(coalesce(kind = 'day', false)) THEN 'both'
+         WHEN bool_or(coalesce(kind = 'month', false)) THEN 'month first'
+         WHEN bool_or(coalesce(kind = 'day', false)) THEN 'day first' ELSE 'none' END AS DATE_ORDER
+  FROM kinds GROUP BY o_orderpriority
+)"""
+    sql["date_order_evidence"] = f"{dated} SELECT * FROM evidence"
+    sql["dates_by_evidence"] = f"""{dated}
+SELECT o_orderkey, o_orderpriority, CASE
+    WHEN kind = 'either' AND NOT month_first AND DATE_ORDER <> 'day first'
+    THEN make_timestamp(year(d), day(d), month(d), hour(d), minute(d), 0.0)
+    WHEN DATE_TIME IS NOT NULL
+    THEN make_timestamp(year(d), month(d), day(d), hour(d), minute(d), 0.0) END AS DATE_TIME
+FROM kinds JOIN evidence USING (o_orderpriority)"""
+    sql["ambiguous_dates"] = f"""{dated}
+SELECT o_orderkey, o_orderpriority, DATE_TIME, DATE_ORDER FROM kinds JOIN evidence USING (o_orderpriority)
+WHERE kind = 'either' AND DATE_ORDER IN ('both', 'none')"""
+    sql["dedupe_wide"] = "SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM (SELECT DISTINCT * FROM lineitem)"
+    sql["duplicate_count_wide"] = (
+        "SELECT count(*) + count(*) FILTER (l_linenumber = 1) + (SELECT count(*) FROM lineitem) "
+        "- (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS DUPLICATE_ROWS "
+        "FROM lineitem WHERE l_orderkey % 5 = 0"
+    )
     sql["dedupe"] = "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem"
     sql["duplicate_count"] = (
         "SELECT (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM "
@@ -432,6 +474,40 @@ ontime AS (
 )""",
         _windows("ontime", "1 hour", "TOTAL_RECORDS", _closed("ontime")),
     )
+    sql["stream_rejects"] = _with(
+        f"""{FAULTY},
+ends AS (SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS z FROM events),
+batches AS (
+  SELECT f.*, epoch_us(ts) AS us, CASE
+    WHEN epoch_us(ts) < a + (z - a) // 3 THEN CASE event_type WHEN 'signup' THEN 2 ELSE 0 END
+    WHEN epoch_us(ts) < a + 2 * ((z - a) // 3) THEN 1 ELSE 2 END AS batch
+  FROM f, ends
+),
+judged AS (
+  SELECT *, CASE WHEN k = 11 THEN 'UNDECODABLE'
+    WHEN try_strptime(DATE_TIME, '%Y-%m-%d %H:%M:%S') IS NULL OR PLANT_ID IS NULL
+      OR POWER_GENERATED IS NULL OR isnan(POWER_GENERATED) THEN 'INCOMPLETE'
+    WHEN IRRADIATION IS NULL OR isnan(IRRADIATION) OR IRRADIATION < 0 OR POWER_GENERATED < 0
+    THEN 'NEGATIVE' END AS reason
+  FROM batches
+),
+marks AS (
+  SELECT n.batch, coalesce(max(j.us) // 1000 * 1000 - 10000000, 0) AS mark
+  FROM (VALUES (0), (1), (2)) AS n(batch) LEFT JOIN judged j ON j.batch < n.batch AND reason IS NULL
+  GROUP BY n.batch
+),
+told AS (
+  SELECT batch, coalesce(reason, CASE WHEN us // 3600000000 * 3600000000 + 3600000000 <= mark
+                                      THEN 'LATE' END) AS reason
+  FROM judged JOIN marks USING (batch)
+)""",
+        "SELECT count(*) AS TOTAL, count(*) FILTER (reason IS NULL) AS KEPT, "
+        + ", ".join(
+            f"count(*) FILTER (reason = '{r}') AS {r}"
+            for r in ("UNDECODABLE", "INCOMPLETE", "NEGATIVE", "LATE")
+        )
+        + ", CAST(batch AS BIGINT) AS BATCH_ID FROM told GROUP BY batch",
+    )
     sql["totals_batch"] = _with(FAULTY, f"SELECT {_statistics('TOTAL_RECORDS')} FROM strict")
     sql["stream_running_totals"] = _with(
         arrived, f"SELECT {_statistics('TOTAL_RECORDS')} FROM arrived"
@@ -480,6 +556,7 @@ FROM (
         "SELECT DATE_TIME, PLANT_ID, SOURCE_KEY, POWER_GENERATED AS ACTUAL_POWER, "
         f"TRUE AS HAS_PREDICTION FROM ({sql['ml_split']}) WHERE PART = 'test'"
     )
+    sql["ml_expression"] = sql["ml_prediction_rows"]
     sql["ml_stump"] = _with(
         STUMP,
         "SELECT ts AS DATE_TIME, PLANT_ID, SOURCE_KEY, y AS ACTUAL_POWER, "

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattloom.schema import MISSING_TOKENS, READING_SCHEMA
+from wattloom.sinks.archive import read_batches_of_archive
 
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -103,9 +104,14 @@ def csv_rejects(
 def read_archive(
     spark: SparkSession, path: str, schema: T.StructType | None = READING_SCHEMA
 ) -> DataFrame:
-    """Scan a Parquet archive; ``schema=None`` takes the layout from the files."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    frame = reader.parquet(path)
+    """Scan a Parquet archive; ``schema=None`` takes the layout from the files.
+
+    If it was written batch by batch, only complete batches are read.
+    """
+    frame = read_batches_of_archive(spark, path, schema)
+    if frame is None:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        frame = reader.parquet(path)
     # Partition columns come back last; restore the declared order.
     return frame if schema is None else frame.select(*schema.fieldNames())
 

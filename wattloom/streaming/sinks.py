@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-BATCH_ID = "BATCH_ID"
+from wattloom.sinks.archive import BATCH_ID, DATE_COLUMNS, ROWS_PER_FILE, archive_batch_sink
+
 # Each micro-batch writes at least one file for each date in it, so batches should not be small.
 ARCHIVE_TRIGGER = {"processingTime": "1 minute"}
 
@@ -23,28 +23,25 @@ def archive_stream(
     path: str,
     checkpoint: str,
     trigger: Mapping | None = ARCHIVE_TRIGGER,
-    partition_by: Sequence[str] = ("YEAR", "MONTH", "DAY"),
-    files_per_date: int = 1,
+    partition_by: Sequence[str] = DATE_COLUMNS,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> StreamingQuery:
     """Append the stream to a Parquet folder, each row exactly once.
 
-    Partitioning by calendar date lets later date filters skip files; pass ``()``
-    for a flat archive.  The rows of a date are brought together before they are
-    written, so a micro-batch writes ``files_per_date`` files for each date rather than
-    one for each date and task; raise it where a date of a batch is large.  Rows are
-    spread over these files by a hash of all their columns.
+    Partitioning by calendar date lets later date filters skip files.  A micro-batch
+    writes as many files for a date as its rows need, at most ``rows_per_file`` in each
+    or so, whatever share of the batch the date has.  ``()`` gives a flat archive, whose
+    files are those of the batch's tasks.
     """
     if partition_by:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_date))
-        df = df.repartition(*partition_by, spread)
+        sink = archive_batch_sink(path, checkpoint, partition_by, rows_per_file)
+        return start_batches(df, sink, checkpoint, trigger=trigger)
     writer = (
         df.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     return _triggered(writer, trigger).start()
 
 
