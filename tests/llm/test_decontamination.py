@@ -1,6 +1,7 @@
 """Benchmark windows against brute force over all windows."""
 
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -62,7 +63,8 @@ def test_query_equals_brute_force(spark, sf_dir):
 
     items = duckdb.connect().execute(f"SELECT * FROM '{sf_dir}/benchmark.parquet'").fetchall()
     got = sorted(map(tuple, QUERIES["op6_decontamination"](spark, sf_dir).collect()))
-    assert got == by_hand(rows_of(sf_dir), items)
+    rows = rows_of(sf_dir)
+    assert got == sorted(by_hand(rows, items) + whole_by_hand(rows, items))
 
 
 def test_edited_passages_at_any_place(spark):
@@ -107,12 +109,15 @@ def whole_by_hand(rows, items):
     """Documents of fewer words than the item, as one window."""
     found = []
     for item, item_text in items:
-        own = Counter(shingles(split(item_text)))
+        iw = split(item_text)
+        own = Counter(shingles(iw))
         for k, text in rows:
             w = split(text)
+            if not 0 < len(w) < len(iw) or 5 * len(w) < 3 * len(iw):
+                continue
             has = Counter(shingles(w))
             lesser, greater = sum((own & has).values()), sum((own | has).values())
-            if 0 < len(w) < len(split(item_text)) and 100 * lesser >= 80 * greater:
+            if 100 * lesser >= 80 * greater:
                 found.append((k, item, 0, len(w), lesser / greater))
     return sorted(found)
 
@@ -158,3 +163,48 @@ def test_simhash_is_the_majority_of_bits(spark, values):
         1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in values) > len(values)
     )
     assert got % (1 << 64) == want
+
+
+def sliding(w, item):
+    """Best window of the item's length, the overlap kept up word by word."""
+    own, m = Counter(shingles(item)), len(item)
+    grams = shingles(w)
+    has, lesser, best = Counter(), 0, (0.0, 0)
+    for i, g in enumerate(grams):
+        has[g] += 1
+        lesser += has[g] <= own[g]
+        start = i - (m - 4) + 1
+        if start > 0:
+            old = grams[start - 1]
+            lesser -= has[old] <= own[old]
+            has[old] -= 1
+        if start >= 0:
+            s = lesser / (2 * (m - 4) - lesser)
+            best = max(best, (s, -start))
+    return best[0], -best[1]
+
+
+def test_a_very_long_item_in_a_longer_document(spark):
+    item = words(1, 5_000, 3_000)
+    copy = spoiled(4, item, 60)
+    text = words(2, 7_000, 3_000) + copy + words(3, 8_000, 3_000)
+    rows = [(1, " ".join(text)), (2, " ".join(words(9, 20_000, 3_000)))]
+    bench = spark.createDataFrame([(5, " ".join(item)), (6, "one two three four five")], "item_id long, text string")
+    began = time.monotonic()
+    got = [tuple(r) for r in contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()]
+    assert time.monotonic() - began < 120
+    similarity, start = sliding(text, item)
+    assert got == [(1, 5, start, 5_000, similarity)]
+
+
+def test_repeated_shingles_of_windows_and_items(spark):
+    draw = random.Random(3)
+    items, rows = [], []
+    for i in range(12):
+        part = words(40 + i, 4, 30)
+        item = part * draw.randrange(2, 7) + words(60 + i, draw.randrange(0, 9), 50)
+        items.append((i, " ".join(item)))
+        rows.append((i, " ".join(words(i, 5, 50) + part * draw.randrange(1, 9) + item[8:] + words(i + 9, 5, 50))))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(map(tuple, contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()))
+    assert got == sorted(by_hand(rows, items) + whole_by_hand(rows, items))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tests.llm.fixtures import awkward_texts, documents, words
 from tests.llm.test_tokens import rows_of
 
+from wattloom.llm import secret_scan
 from wattloom.llm.queries import QUERIES
 from wattloom.llm.secret_scan import (
     KINDS,
@@ -142,3 +143,112 @@ def test_redaction(spark):
     df = find_secrets(documents(spark, texts), carry=("text",))
     got = [r[0] for r in df.orderBy("doc_id").select(redacted(F.col("text"), F.col("spans"))).collect()]
     assert got == ["a <secret>\" b <secret>", "nothing é", None, "<secret>"]
+
+
+def tail(z):
+    return 0.5 * math.erfc(z / math.sqrt(2))
+
+
+def battery_by_hand(match):
+    """Length, whether every test passes, and the logarithm of the likelihood ratio."""
+    body = match.rstrip("=")
+    alphabet = next(a for a in secret_scan.ALPHABETS.values() if set(body) <= set(a))
+    n, k = len(body), len(alphabet)
+    places = [alphabet.index(c) + 1 for c in body]
+    chi = k / n * sum(body.count(c) ** 2 for c in alphabet) - n
+    width = 2 / (9 * (k - 1))
+    p_chi = tail(((chi / (k - 1)) ** (1 / 3) - (1 - width)) / math.sqrt(width))
+    upper = [p > k // 2 for p in places]
+    both = 2 * sum(upper) * (n - sum(upper))
+    spread = both * (both - n) / (n * n * (n - 1))
+    changes = sum(a != b for a, b in zip(upper, upper[1:]))
+    z_runs = (changes - both / n) / math.sqrt(spread) if spread > 0 else math.sqrt(n)
+    mean = sum(places) / n
+    squares = sum((p - mean) ** 2 for p in places)
+    products = sum((a - mean) * (b - mean) for a, b in zip(places, places[1:]))
+    z_next = (products / squares + 1 / n) * math.sqrt(n) if squares > 0 else math.sqrt(n)
+    level = secret_scan.BATTERY_LEVEL / 3
+    passes = min(p_chi, 2 * tail(abs(z_runs)), 2 * tail(abs(z_next))) >= level
+    classes, own, steps = secret_scan.text_model(alphabet)
+    kinds = [classes[p - 1] for p in places]
+    surprise = sum(own[p - 1] for p in places) - sum(steps[a][b] for a, b in zip([6, *kinds], kinds))
+    return n, passes, surprise
+
+
+def found_by_hand(texts):
+    """Random runs of all texts: the battery, then Benjamini-Hochberg within each family."""
+    families = {}
+    for i, text in enumerate(texts):
+        base = base_by_hand(text)
+        for m in re.finditer(secret_scan.RUN, text or ""):
+            if any(s < m.end() and e > m.start() for s, _, e in base):
+                continue
+            n, passes, surprise = battery_by_hand(m.group())
+            family = sum(n >= least for least in secret_scan.FAMILIES)
+            # The step goes over bins, which round p-values up a little.
+            p = math.exp(-math.floor(max(0.0, surprise) * secret_scan.BINS) / secret_scan.BINS) if passes else 2.0
+            families.setdefault(family, []).append((p, (i, m.start(), m.end())))
+    taken = set()
+    for runs in families.values():
+        runs.sort()
+        upto = 0
+        for rank, (p, _) in enumerate(runs, start=1):
+            if p <= 1 and p * len(runs) <= secret_scan.FALSE_SHARE * rank:
+                upto = rank
+        taken |= {span for _, span in runs[:upto]}
+    return taken
+
+
+def added(df):
+    return {
+        (r["doc_id"], s["start"], s["end"]) for r in find_secrets(df).collect() for s in r["spans"] if s["kind"] == 3
+    }
+
+
+def test_whole_battery_and_false_discovery_step_by_hand(spark):
+    draw = random.Random(9)
+    corpus = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    texts = [r["text"] for r in corpus] + awkward_texts() + SECRETS
+    for name, alphabet in secret_scan.ALPHABETS.items():
+        for n in (16, 17, 23, 24, 31, 40, 130):
+            texts.append(f"{name} {secret(draw, alphabet, n)}= " + " ".join(words(n, 5, 900)))
+    texts += ["-".join(words(i, 7, 900)) for i in range(60)]
+    assert added(documents(spark, texts)) == found_by_hand(texts)
+
+
+def test_share_of_random_runs_found_by_alphabet_and_length(spark):
+    """Where one run in twenty is random; at most one in a hundred found is false."""
+    draw, lengths, each = random.Random(10), (16, 20, 24, 32, 40), 60
+    texts, wanted = [], {}
+    for name, alphabet in secret_scan.ALPHABETS.items():
+        for n in lengths:
+            for _ in range(each):
+                wanted[len(texts)] = (name, n)
+                texts.append(secret(draw, alphabet, n))
+    written = []
+    for i in range(19 * len(texts)):
+        own = words(i, draw.randrange(6, 18), 900)
+        style = i % 4
+        own = [w.title() for w in own] if style == 1 else [w.upper() for w in own] if style == 2 else own
+        run = ("" if style < 2 else "_").join(w for w in own if w.isascii())
+        if len(run) >= 16:
+            written.append(run[: draw.randrange(16, 48)].strip("_"))
+    df = documents(spark, texts + written)
+    got = {k for k, *_ in added(df)}
+    shares = {}
+    for k, key in wanted.items():
+        shares.setdefault(key, []).append(k in got)
+    table = {key: sum(v) / len(v) for key, v in shares.items()}
+    for name in secret_scan.ALPHABETS:
+        print(f"{name:14}", *(f"{table[name, n]:.2f}" for n in lengths))
+    # From 32 characters on, digits and hex are known forms and no random runs.
+    judged = {k: v for k, v in table.items() if k[0] not in ("decimal", "hex") or k[1] < 32}
+    assert all(share == 0 for (name, _), share in judged.items() if name == "decimal")
+    one_case = {k: v for k, v in judged.items() if k[0] in ("lower", "upper")}
+    others = {k: v for k, v in judged.items() if k[0] not in ("lower", "upper", "decimal")}
+    mean = lambda table, *ns: sum(v for (_, n), v in table.items() if n in ns) / sum(n in ns for _, n in table)
+    assert mean(others, 16) >= 0.85 and mean(others, 20, 24) >= 0.92 and mean(others, 32, 40) >= 0.95
+    assert mean(one_case, 16, 20, 24) >= 0.7 and mean(one_case, 32, 40) >= 0.9
+    assert min(others.values()) >= 0.75 and min(one_case.values()) >= 0.6
+    false = sum(k >= len(texts) for k in got)
+    assert false <= 0.01 * len(got), false

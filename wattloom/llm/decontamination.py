@@ -12,8 +12,9 @@ similarity is the sum of the lesser weights over the sum of the greater ones.
    many-th shingle of a document therefore meets each such run.  Where the run stands in
    the item says nothing of where the window starts, as parts of a passage may have
    changed places.  So all shingles of the documents that were met are looked up, and each
-   one found counts for every window over it; windows with as many as the similarity
-   wants are taken.
+   one found counts for every window over it, by a running sum of where it comes in and
+   goes out; windows with as many as the similarity wants are taken, one for each run of
+   windows over the same shingles found.
 2. *Candidates.*  Each of these windows gets a 64-bit SimHash.  Two fingerprints within
    ``RADIUS`` bits agree in one of eight bytes but for ``RADIUS // 8`` bits, so the
    items' bytes, with all variants, are indexed, and one lookup per byte finds every
@@ -25,7 +26,7 @@ Only DataFrame functions are used.  A shingle is known by its 64-bit hash.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.llm.columns import if_small, let, words_of
@@ -37,6 +38,8 @@ THRESHOLD_PERCENT = 80
 # differs with a chance of 0.15, and more than 23 of 64 bits with one of about 1e-5.
 RADIUS = 23
 _BLOCKS = 8
+# Bits of a count of ones; three of them fit a number.
+_LANE = 21
 _BITS = 64 // _BLOCKS
 
 
@@ -57,28 +60,58 @@ def _all_shingles(words: Column, size: int) -> Column:
 
 def simhash(shingles: Column) -> Column:
     """64-bit fingerprint: each bit is the weighted majority of the shingles' bits."""
+    none = F.lit(0).cast("long")
+    ones = lambda b: F.aggregate(
+        shingles, none, lambda a, h: a + F.getbit(h, b).cast("long")
+    )
+    # Three bits are counted at a time, in lanes of one number; longer arrays would overflow them.
+    mask = F.lit(sum(1 << _LANE * k for k in range(3))).cast("long")
 
-    def bit(b: Column) -> Column:
-        ones = F.aggregate(
-            shingles,
-            F.lit(0),
-            lambda a, h: a + F.getbit(h, b).cast("int"),
-        )
-        return 2 * ones > F.size(shingles)
+    def three(b: int) -> Column:
+        return F.aggregate(shingles, none, lambda a, h: a + F.shiftright(h, b).bitwiseAND(mask))
 
+    lanes = [three(b) for b in range(_LANE)]
+    lane = lambda sums, b: F.shiftright(sums[b % _LANE], _LANE * (b // _LANE)).bitwiseAND(
+        F.lit((1 << _LANE) - 1).cast("long")
+    )
+    counts = F.when(
+        F.size(shingles) < 1 << _LANE,
+        let(F.array(*lanes), lambda sums: F.array(*[lane(sums, b) for b in range(63)], ones(F.lit(63)))),
+    ).otherwise(F.transform(F.sequence(F.lit(0), F.lit(63)), ones))
     masks = F.array(*[F.lit(1 << b if b < 63 else -(1 << 63)).cast("long") for b in range(64)])
     return F.aggregate(
-        F.transform(masks, lambda m, b: F.when(bit(b), m).otherwise(F.lit(0).cast("long"))),
-        F.lit(0).cast("long"),
+        F.zip_with(counts, masks, lambda n, m: F.when(2 * n > F.size(shingles), m).otherwise(none)),
+        none,
         lambda a, m: a.bitwiseOR(m),
     )
 
 
 def weighted_similarity(a: Column, b: Column) -> tuple[Column, Column]:
-    """Sums of the lesser and of the greater weights of two arrays of shingle hashes."""
-    times = lambda values, x: F.size(F.filter(values, lambda y: y == x))
+    """Sums of the lesser and of the greater weights of two arrays of shingle hashes.
+
+    Both are sorted together and passed once, so long windows take hardly more than their length.
+    """
+    tagged = lambda values, tag: F.transform(
+        values, lambda h: F.struct(h.alias("h"), F.lit(tag).alias("tag"))
+    )
+    none = F.lit(0).cast("long")
+    start = F.struct(none.alias("h"), none.alias("a"), none.alias("b"), none.alias("lesser"))
+
+    def step(acc: Column, x: Column) -> Column:
+        same = acc["h"] == x["h"]
+        kept = lambda c: F.when(same, acc[c]).otherwise(none)
+        return F.struct(
+            x["h"].alias("h"),
+            (kept("a") + (1 - x["tag"])).alias("a"),
+            (kept("b") + x["tag"]).alias("b"),
+            (acc["lesser"] + F.when(same, none).otherwise(F.least(acc["a"], acc["b"]))).alias("lesser"),
+        )
+
     lesser = F.aggregate(
-        F.array_intersect(a, b), F.lit(0), lambda acc, x: acc + F.least(times(a, x), times(b, x))
+        F.sort_array(F.concat(tagged(a, 0), tagged(b, 1))),
+        start,
+        step,
+        lambda acc: acc["lesser"] + F.least(acc["a"], acc["b"]),
     )
     return lesser, F.size(a) + F.size(b) - lesser
 
@@ -121,6 +154,8 @@ def contaminated(
     white space; items of fewer words than a shingle are found where all their words are.
     A document of fewer words than an item is compared with it as a whole.
 
+    Texts and items of any length are taken whole; the work for a passage grows with its
+    length times the number of windows over its shingles.
     Documents and items with a null id, and null, empty and white-space texts, match
     nothing; repeated rows of a document, or rows that share an id, count as one; other
     columns are ignored, whatever their names; empty tables give an empty result.
@@ -182,16 +217,19 @@ def contaminated(
     own = F.greatest(F.col("m") - (size - 1), F.lit(1))
     held = F.greatest(n_words - (size - 1), F.lit(1))
     enough = F.ceil(percent * (held + own) / (100 + percent))
-    starts = F.sequence(
-        F.greatest(F.col("p") - own + 1, F.lit(0)),
-        F.greatest(F.least(F.col("p"), F.col("n") - F.col("m")), F.lit(0)),
-    )
+    first = F.greatest(F.col("p") - own + 1, F.lit(0))
+    last = F.greatest(F.least(F.col("p"), F.col("n") - F.col("m")), F.lit(0))
+    event = lambda at, step: F.struct(at.alias("start"), F.lit(step).alias("step"))
+    # A shingle found counts from the first window over it to the last.  Windows between two
+    # such events hold the same shingles of items and are as similar, so the first of them is taken.
+    so_far = Window.partitionBy("doc_id", "n", "m").orderBy("start")
     places = materialize(
         hits.where(100 * held >= percent * own)
-        .select("doc_id", "n", "m", F.explode(starts).alias("start"))
-        .groupBy("doc_id", "n", "m", "start")
-        .count()
-        .where(F.col("count") >= enough)
+        .select("doc_id", "n", "m", F.explode(F.array(event(first, 1), event(last + 1, -1))).alias("e"))
+        .groupBy("doc_id", "n", "m", "e.start")
+        .agg(F.sum("e.step").alias("step"))
+        .withColumn("found", F.sum("step").over(so_far))
+        .where(F.col("found") >= enough)
         .groupBy("doc_id", "n")
         .agg(F.collect_list(F.struct("m", "start")).alias("places")),
         "places",

@@ -319,20 +319,20 @@ ORACLE_SQL = {
         ), pairs AS (
             SELECT DISTINCT ds.doc_id, bs.item_id, bs.m FROM ds JOIN bs USING (g)
         ), windows AS (
-            SELECT pairs.*, start FROM pairs JOIN d USING (doc_id),
-                   unnest(range(0, len(w) - m + 1)) AS t(start)
+            SELECT pairs.*, start, least(len(w), m) AS held FROM pairs JOIN d USING (doc_id),
+                   unnest(range(0, greatest(len(w) - m, 0) + 1)) AS t(start)
         ), counted AS (
-            SELECT windows.doc_id, item_id, m, start, g, count(*) AS c
-            FROM windows JOIN ds ON ds.doc_id = windows.doc_id AND p BETWEEN start AND start + m - 5
+            SELECT windows.doc_id, item_id, m, held, start, g, count(*) AS c
+            FROM windows JOIN ds ON ds.doc_id = windows.doc_id AND p BETWEEN start AND start + held - 5
             GROUP BY ALL
         ), lesser AS (
-            SELECT doc_id, item_id, counted.m, start, sum(least(counted.c, bs.c))::BIGINT AS n
+            SELECT doc_id, item_id, counted.m, held, start, sum(least(counted.c, bs.c))::BIGINT AS n
             FROM counted JOIN bs USING (item_id, g) GROUP BY ALL
         ), alike AS (
-            SELECT *, n / (2 * (m - 4) - n) AS similarity FROM lesser
-            WHERE 100 * n >= 80 * (2 * (m - 4) - n)
+            SELECT *, n / (held + m - 8 - n) AS similarity FROM lesser
+            WHERE 100 * n >= 80 * (held + m - 8 - n)
         )
-        SELECT doc_id, item_id, start, m AS n_words, similarity FROM alike
+        SELECT doc_id, item_id, start, held AS n_words, similarity FROM alike
         QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
     """,
     "op7_substring_dedup": f"""
