@@ -9,13 +9,17 @@ columns, but for the last, which returns pieces of packed sequences:
 4. secrets: secrets are replaced in the texts, all documents stay;
 5. packing: texts become token sequences.
 
-Rows without an id cannot be named by another table: stages 2 and 3 keep them.  Rows
-that share an id count as one document, of which stage 2 keeps one row.
+Stages 2 and 3 know a row by its file and its place in it, not by its id: rows that share
+an id, and rows without one, are documents each.  Of near copies with and without an
+id, one with the least id stays.  No stage drops or changes a row for a null in any
+column, an empty or a very long text, a tie or a clashing extra column; equal rows are
+near copies of each other, unless they have no words, and an empty table stays empty.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,21 +41,43 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scores.where("predicted = 0").select("row.*")
 
 
+def with_places(docs: DataFrame) -> DataFrame:
+    """``docs`` as stored, with the column ``place``: file and row number of each row.
+
+    Both outlive any executor and do not depend on how the files are split into tasks.
+    A table that is not read from files is stored first.
+    """
+    place = F.struct(
+        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    ).alias("place")
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    try:
+        return docs.select(columns, place)
+    except AnalysisException:
+        return materialize(docs, "docs").select(columns, place)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each class of near copies."""
+    """One document of each class of near copies: the one of least id."""
     prepare(spark)
-    classes = near_duplicates(docs)
-    first = classes.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    placed = with_places(docs)
+    own_id = F.col("doc.doc_id")
+    key = F.struct(own_id.isNull().alias("unnamed"), own_id.alias("id"), "place")
+    classes = near_duplicates(placed.select(key.alias("doc_id"), F.col("doc.text").alias("text")))
+    first = classes.where("doc_id = component_id").select("doc_id.place")
+    return placed.join(first, "place", "left_semi").select("doc.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     prepare(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = materialize(contaminated(docs, benchmark).select("doc_id").distinct(), "leaks")
-    return docs.join(if_small(found), "doc_id", "left_anti").select(docs.columns)
+    placed = with_places(docs)
+    texts = placed.select("place", F.col("doc.text").alias("text"))
+    found = materialize(
+        contaminated(texts, benchmark, doc_id="place").select(F.col("doc_id").alias("place")).distinct(), "leaks"
+    )
+    return placed.join(if_small(found), "place", "left_anti").select("doc.*")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
