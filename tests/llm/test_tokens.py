@@ -1,6 +1,7 @@
 """Counting, packing and token files against the tokenizers library."""
 
 import glob
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -208,3 +209,46 @@ def test_null_ids_keep_their_type(spark):
     df = spark.createDataFrame([(2**60 + 1, "a"), (None, None)], "doc_id long, text string")
     got = {r["doc_id"] for r in pack_documents(df, WORD).collect()}
     assert got == {2**60 + 1, None} and DOC_SCHEMA.startswith("doc_id long")
+
+
+SCRIPTS = [
+    "“quoted” — ‘x’ €5 naïve", "日本語 テキスト 日本語", "кириллица и кириллица", "ΟΔΟΣ σς İstanbul", "it's 👩‍👩‍👧 I'LL",
+    "éa̧ ́b", "العربية नमस्ते ไทย", "x\u0085y\x1cz\x00 ​½²Ⅷ٣",
+]
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_mixed_scripts_go_through_both_tiers(path, monkeypatch):
+    draw = random.Random(8)
+    texts = SCRIPTS + [
+        " ".join(draw.choice(" ".join(SCRIPTS).split(" ") + ["the", "<|endoftext|>"]) for _ in range(40)) for _ in range(150)
+    ]
+    encoder = TextEncoder(path)
+    monkeypatch.setattr(encoder, "tokenizer", _NoEncode(encoder.tokenizer))
+    for text, ids in zip(texts, library_ids(path, texts)):
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == ids
+        assert encoder.count(text) == len(ids)
+    # Some 6,000 pre-tokens, of which few differ, were encoded once each.
+    assert 30 < len(encoder._ids) == len(encoder._lengths) < 200
+    pieces = [p for block in encoder.pretokens(SCRIPTS[2]) for p in block]
+    known = TextEncoder(path, {p: 1000 for p in pieces})
+    assert known.count(SCRIPTS[2]) == 1000 * len(pieces)
+
+
+class _NoEncode:
+    """A tokenizer that takes no whole texts."""
+
+    def __init__(self, tokenizer):
+        self.normalizer, self.pre_tokenizer = tokenizer.normalizer, tokenizer.pre_tokenizer
+
+
+def test_small_tables_have_a_dictionary_too(spark, tmp_path):
+    texts = [" ".join(words(1, 30)), " ".join(words(1, 30)) + " x", None]
+    write_token_files(documents(spark, texts), BYTE, f"{tmp_path}/few")
+    assert len(glob.glob(f"{tmp_path}/few/dictionary-*.zdict")) == 1
+    rows = read_token_files(spark, f"{tmp_path}/few").orderBy("doc_id").collect()
+    got = [np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in rows]
+    assert got == [ids + [0] for ids in library_ids(BYTE, texts)]
+    write_token_files(documents(spark, []), BYTE, f"{tmp_path}/none")
+    assert glob.glob(f"{tmp_path}/none/dictionary-*.zdict") == []
+    assert read_token_files(spark, f"{tmp_path}/none").count() == 0

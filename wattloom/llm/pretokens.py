@@ -1,9 +1,10 @@
 """Token ids of whole texts, exactly as the ``tokenizers`` library gives them.
 
 A BPE tokenizer cuts a text into pre-tokens and encodes each by itself, so the ids
-of a pre-token can be kept and used again.  :class:`TextEncoder` does that for
-texts made of Latin characters, for which it knows the library's character
-classes; any other text goes through the library whole.
+of a pre-token can be kept and used again.  :class:`TextEncoder` does that for every
+text: blocks of Latin characters, whose classes it knows, are cut by an expression,
+other blocks by the library's own normaliser and pre-tokeniser.  Only a tokenizer of
+another kind than these takes texts whole.
 """
 
 from __future__ import annotations
@@ -165,14 +166,16 @@ class TextEncoder:
             yield part[start:] if start else part, False
 
     def _pieces(self, segment: str) -> list[str]:
-        return self._pattern.findall(segment.lower() if self._lower else segment)
-
-    def _is_known(self, text: str) -> bool:
-        return self._by_piece and LATIN.fullmatch(text) is not None
+        if LATIN.fullmatch(segment):
+            return self._pattern.findall(segment.lower() if self._lower else segment)
+        if self.tokenizer.normalizer is not None:
+            segment = self.tokenizer.normalizer.normalize_str(segment)
+        cuts = self.tokenizer.pre_tokenizer.pre_tokenize_str(segment)
+        return [segment[start:end] for _, (start, end) in cuts]
 
     def pretokens(self, text: str | None) -> Iterator[list[str]]:
-        """The pre-tokens of a text in blocks; none for a text that goes through whole."""
-        if text and self._is_known(text):
+        """The pre-tokens of a text in blocks; none if the tokenizer takes texts whole."""
+        if text and self._by_piece:
             for segment, special in self._segments(text):
                 if not special:
                     yield self._pieces(segment)
@@ -181,7 +184,7 @@ class TextEncoder:
         """Ids as little-endian unsigned 32-bit integers; none for null or empty text."""
         if not text:
             return b""
-        if not self._is_known(text):
+        if not self._by_piece:
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         found = self._ids.__getitem__
         return b"".join(
@@ -195,7 +198,7 @@ class TextEncoder:
         """Number of ids."""
         if not text:
             return 0
-        if not self._is_known(text):
+        if not self._by_piece:
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
         found = self._lengths.__getitem__
         return sum(

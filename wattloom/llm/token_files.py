@@ -2,8 +2,9 @@
 
 A folder holds
 
-* ``dictionary-<sha256>.zdict``: the dictionary, trained on serialized id arrays;
-  absent if there are too few documents to train one;
+* ``dictionary-<sha256>.zdict``: the dictionary, trained on serialized id arrays, or
+  some of these arrays as they are where they are too few to train on; absent only if
+  there are none;
 * ``part-<number>-<attempt>.tok``: the magic ``WTOK0001``, the dictionary's SHA-256
   (32 bytes, zeros without one), then one frame per document;
 * ``part-<number>-<attempt>.idx``: the same head, then one fixed-width entry per
@@ -21,6 +22,7 @@ import hashlib
 import posixpath
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,8 @@ LEVEL = 1
 DICTIONARY_BYTES = 64 * 1024
 DICTIONARY_DOCUMENTS = 1_000
 DICTIONARY_TEXT_BYTES = 16 * 1024
+# The library takes no shorter content as a dictionary.
+LEAST_DICTIONARY = 8
 
 _MANIFEST = "part int, file string, documents long, tokens long, bytes long"
 _READ_BYTES = 4 << 20
@@ -62,9 +66,10 @@ def _open(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def train_dictionary(documents: DataFrame, tokenizer: str, end_id: int) -> bytes:
-    """Dictionary of serialized id arrays; empty if the documents do not suffice.
+    """Dictionary of serialized id arrays; empty if there are no arrays to speak of.
 
-    ``documents`` has the columns ``doc_id`` and ``text``.
+    Arrays too few for the library to train on are the dictionary themselves: a frame
+    can refer to any content.  ``documents`` has the columns ``doc_id`` and ``text``.
     """
     short = documents.where(F.octet_length("text") <= DICTIONARY_TEXT_BYTES)
     share = DICTIONARY_DOCUMENTS / max(1, documents.count())
@@ -78,12 +83,11 @@ def train_dictionary(documents: DataFrame, tokenizer: str, end_id: int) -> bytes
     encoder = text_encoder(tokenizer)
     end = end_id.to_bytes(4, "little")
     samples = [encoder.ids(r["text"]) + end for r in rows]
-    if sum(map(len, samples)) < 8 * DICTIONARY_BYTES:
-        return b""
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+    if sum(map(len, samples)) >= 8 * DICTIONARY_BYTES:
+        with suppress(zstandard.ZstdError):  # arrays without anything in common
+            return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+    content = b"".join(samples)[-DICTIONARY_BYTES:]
+    return content if len(content) >= LEAST_DICTIONARY else b""
 
 
 def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
