@@ -11,11 +11,12 @@ prefixes ``l - 1`` longer; prefixes of different ``l`` share the smaller of the
    others can link with nothing, and drops out.
 2. Each document picks its own ``l``: it lengthens its prefix as long as the expected
    cost of reading longer lists is less than what it saves in verifications.
-3. Documents that share a shingle of their shortest prefixes fall into one cluster.
-   A cluster is cut into blocks of ``BLOCK`` documents, and each pair of blocks is a
-   tile: there, pairs of fitting sizes with enough shared prefix shingles are
-   verified on the whole sets, and a tile returns one row per document: the least
-   document it reaches by links there, and its number of links.
+3. Documents that share a shingle of their shortest prefixes meet in one tile: a small
+   cluster of such documents, or two blocks of a large one (``tiles``), whose documents
+   go there only if they share a shingle with the other block.  In a tile, pairs of
+   fitting sizes with enough shared prefix shingles are verified on the whole sets,
+   and it returns one row per document: the least document it reaches by links there,
+   and its number of links.
 4. The links' connected components are the classes.
 
 Documents of equal sets are one representative throughout, and join it at the end.
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from wattloom.llm.components import components
 from wattloom.llm.memory import frugal, give_back
+from wattloom.llm.tiles import tiles
 from wattloom.llm.words import (
     BYTES_AT_ONCE,
     hash_texts,
@@ -52,7 +54,7 @@ THRESHOLD_PERCENT = 80
 PART_WORDS = 1_000_000
 RANGE_WORDS = 4_000_000
 LEAST_RANGES = 64
-# Documents in a block of a large cluster, and of small clusters packed into one task.
+# Documents in a block of a large cluster, and of small tiles packed into one task.
 BLOCK = 256
 # Longest lengthening of a prefix, and the cost of a verification in list entries read.
 LONGEST = 16
@@ -380,7 +382,7 @@ def _reached(links: np.ndarray, refs: np.ndarray) -> np.ndarray:
 
 
 def _tile_links(percent: int):
-    def cluster(rows: list[dict]) -> Iterator[tuple[int, int, int]]:
+    def tile(rows: list[dict]) -> Iterator[tuple[int, int, int]]:
         left = [r for r in rows if r["side"] == 0]
         right = [r for r in rows if r["side"] == 1]
         if rows[0]["i"] == rows[0]["j"]:
@@ -400,10 +402,10 @@ def _tile_links(percent: int):
         yield from zip(refs.tolist(), _reached(links, refs).tolist(), counts.tolist())
 
     def run(table: pa.Table) -> pa.Table:
-        by_cluster: dict[int, list[dict]] = {}
+        by_tile: dict[tuple[int, int], list[dict]] = {}
         for row in table.to_pylist():
-            by_cluster.setdefault(row["cluster"], []).append(row)
-        found = [x for rows in by_cluster.values() for x in cluster(rows)]
+            by_tile.setdefault((row["i"], row["j"]), []).append(row)
+        found = [x for rows in by_tile.values() for x in tile(rows)]
         cells = list(zip(*found)) or [[], [], []]
         give_back()
         return pa.table([pa.array(c, pa.int64()) for c in cells], ["u", "v", "links"])
@@ -484,28 +486,13 @@ def near_duplicates(
         postings.join(tokens, "token").select(F.col("ref").alias("u"), F.col("least").alias("v"))
     )
     clusters = materialize(clusters.select(F.col("node").alias("ref"), F.col("component").alias("cluster")), "clusters")
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    packs = max(1, clusters.count() // BLOCK)
     members = (
-        clusters.join(sizes, "cluster")
+        tiles(clusters, candidates, BLOCK)
         .join(candidates.drop("first"), "ref")
         .join(classes.select(F.col("rep").alias("ref"), "copies"), "ref")
-        .withColumn("own", F.pmod(F.xxhash64("ref"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select(
-            "ref", "n", "needs", "prefix", "shared", "copies", "cluster",
-            F.when(F.col("blocks") > 1, F.col("cluster"))
-            .otherwise(F.pmod(F.xxhash64("cluster"), F.lit(packs)) - F.lit(packs))
-            .alias("pack"),
-            F.least("own", "other").alias("i"),
-            F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"),
-        )
     )
     reached = materialize(
-        members.groupBy("pack", "i", "j").applyInArrow(
-            _tile_links(percent), "u long, v long, links long"
-        ),
+        members.groupBy("pack").applyInArrow(_tile_links(percent), "u long, v long, links long"),
         "reached",
     )
     joined = components(reached.select("u", "v"))
