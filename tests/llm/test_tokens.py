@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -252,3 +253,51 @@ def test_small_tables_have_a_dictionary_too(spark, tmp_path):
     write_token_files(documents(spark, []), BYTE, f"{tmp_path}/none")
     assert glob.glob(f"{tmp_path}/none/dictionary-*.zdict") == []
     assert read_token_files(spark, f"{tmp_path}/none").count() == 0
+
+
+def batch_ids(encoder, texts, kind=pa.string()):
+    return [np.frombuffer(ids, "<u4").tolist() for ids in encoder.batch_ids(pa.array(texts, kind))]
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_batches_of_awkward_texts_equal_the_library(path, kind, monkeypatch):
+    monkeypatch.setattr(pretokens, "GROUP_BYTES", 20_000)
+    texts = [*awkward_texts(), *SCRIPTS, " ", "a  b", "x\n y", "", None, " lead", "trail ", "a \n b", "-" * 90 + " -"] * 3
+    encoder = TextEncoder(path, cache=50)
+    assert batch_ids(encoder, texts, kind) == library_ids(path, texts)
+    assert batch_ids(encoder, []) == [] and batch_ids(encoder, [None]) == [[]]
+    assert [*encoder.batch_ids(pa.array(["no", "a b", None, "c"]).slice(1))] == [
+        encoder.ids(t) for t in ("a b", None, "c")
+    ]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*" \n\t\r\x0b a1'sé.,½\u00a0\u0300", "<|endoftext|>"]), max_size=30).map("".join)))
+def test_batches_of_odd_white_space_equal_the_library(texts):
+    assert batch_ids(pretokens.text_encoder(BYTE), texts) == library_ids(BYTE, texts)
+
+
+def test_a_word_is_cut_once_for_a_batch(monkeypatch):
+    vocabulary = [f"{w}," if i % 3 else w for i, w in enumerate(dict.fromkeys(words(5, 400)))]
+    draw = random.Random(6)
+    texts = [" ".join(draw.choices(vocabulary, k=300)) for _ in range(50)]
+    encoder = TextEncoder(BYTE)
+    cuts = Counter()
+    monkeypatch.setattr(encoder, "_pattern", _Counted(encoder._pattern, cuts))
+    assert batch_ids(encoder, texts) == library_ids(BYTE, texts)
+    # 15,000 words, each at first cut into a few pre-tokens, which are then known.
+    assert max(cuts.values()) == 1 and sum(map(len, cuts)) < 10 * sum(map(len, vocabulary))
+    before = sum(cuts.values())
+    assert batch_ids(encoder, texts) == library_ids(BYTE, texts) and sum(cuts.values()) == before
+
+
+class _Counted:
+    """A pattern that counts what it is asked to cut."""
+
+    def __init__(self, pattern, cuts):
+        self._pattern, self._cuts = pattern, cuts
+
+    def findall(self, text):
+        self._cuts[text] += 1
+        return self._pattern.findall(text)

@@ -5,6 +5,9 @@ of a pre-token can be kept and used again.  :class:`TextEncoder` does that for e
 text: blocks of Latin characters, whose classes it knows, are cut by an expression,
 other blocks by the library's own normaliser and pre-tokeniser.  Only a tokenizer of
 another kind than these takes texts whole.
+
+Texts that come together share more: of a group of texts, each distinct word (a text is
+cut before its spaces) is cut into pre-tokens and looked up once.
 """
 
 from __future__ import annotations
@@ -16,6 +19,10 @@ from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer  # noqa: E402
@@ -34,8 +41,16 @@ LATIN = re.compile("[\t-\r -~¡-ſ]*")
 # Segments longer than this many characters are cut at a space between two words.
 BLOCK_CHARS = 1 << 20
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
+# Texts that come together are worked on in groups of about so many bytes.
+GROUP_BYTES = 8 << 20
+# A character outside the Latin blocks, or a space that a byte-level pre-tokenizer may join
+# to the white space before it.  Before any other space a pre-token ends.
+_UNEVEN = "[^\t-\r -~¡-ſ]|[\t-\r ] "
 # Pre-tokens in a generation of a cache; a Python worker keeps at most two generations.
 CACHE_LIMIT = 200_000
+# The same for words of texts that come together; a longer word is not kept.
+WORD_LIMIT = 400_000
+WORD_CHARS = 64
 
 
 def _byte_chars() -> dict[int, str]:
@@ -134,9 +149,12 @@ class TextEncoder:
         self._special = {t["content"]: t["id"] for t in added}
         names = sorted(self._special, key=len, reverse=True)
         self._special_pattern = re.compile("(" + "|".join(map(re.escape, names)) + ")")
+        even = self._by_piece and pattern == BYTE_LEVEL_PATTERN
+        self._uneven = "|".join([_UNEVEN, *map(re.escape, names)]) if even else None
         self._model = self.tokenizer.model
         self._bytes = _byte_chars()
         self._ids = _Cache(self.piece_ids, cache or CACHE_LIMIT)
+        self._words = _Cache(self._word_ids, cache or WORD_LIMIT)
         self._lengths = _Cache(self._piece_length, cache or CACHE_LIMIT, known_lengths)
 
     def _piece_length(self, piece: str) -> int:
@@ -149,6 +167,13 @@ class TextEncoder:
         """Ids of one pre-token, not kept."""
         return array("I", [t.id for t in self._encoded(piece)]).tobytes()
 
+    def _word_ids(self, word: str) -> bytes:
+        """Ids of a pre-token, or of several in one string of Latin characters."""
+        pieces = self._pattern.findall(word)
+        if len(pieces) == 1:
+            return self.piece_ids(word)
+        return b"".join(map(self._words.__getitem__, pieces))
+
     def _segments(self, text: str) -> Iterator[tuple[str, bool]]:
         """Parts of a text and whether each is a special string; long parts in blocks."""
         parts = self._special_pattern.split(text) if self._special else [text]
@@ -194,6 +219,47 @@ class TextEncoder:
             for segment, special in self._segments(text)
         )
 
+    def batch_ids(self, texts: pa.Array) -> Iterator[bytes]:
+        """:meth:`ids` of each text of an Arrow array, in its order."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+        first = 0
+        while first < len(texts):
+            most = GROUP_BYTES + (ends[first - 1] if first else 0)
+            last = max(first + 1, int(np.searchsorted(ends, most, side="right")))
+            yield from self._group_ids(texts.slice(first, last - first))
+            first = last
+
+    def _group_ids(self, texts: pa.Array) -> Iterator[bytes]:
+        if self._uneven is None:
+            yield from (self.ids(text.as_py()) for text in texts)
+            return
+        even = pc.and_(
+            pc.invert(pc.match_substring_regex(texts, self._uneven)),
+            pc.less_equal(pc.binary_length(texts), BLOCK_CHARS),
+        ).fill_null(False)
+        words = pc.split_pattern(texts.filter(even), " ")
+        starts = words.offsets.to_numpy()
+        coded = words.values.dictionary_encode()
+        distinct = [" " + word for word in coded.dictionary.to_numpy(zero_copy_only=False)]
+        # No space comes before the first word of a text.
+        distinct += words.values.take(words.offsets[:-1]).to_pylist()
+        codes = coded.indices.to_numpy().copy()
+        codes[starts[:-1]] = np.arange(len(distinct) - len(starts) + 1, len(distinct))
+        found = self._words.__getitem__
+        ids = pa.array(
+            [found(w) if len(w) <= WORD_CHARS else self._word_ids(w) for w in distinct], pa.binary()
+        )
+        ids = ids.take(pa.array(codes))
+        _, offsets, data = ids.buffers()
+        spans = np.frombuffer(offsets, np.int32, len(ids) + 1)[starts].tolist()
+        text = 0
+        for number, is_even in enumerate(even.to_pylist()):
+            if is_even:
+                yield data[spans[text] : spans[text + 1]].to_pybytes() if data else b""
+                text += 1
+            else:
+                yield self.ids(texts[number].as_py())
+
     def count(self, text: str | None) -> int:
         """Number of ids."""
         if not text:

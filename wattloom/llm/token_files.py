@@ -138,11 +138,11 @@ def write_token_files(
         files, folder_path = _open(folder)
         entries, tokens, offset, data = [], 0, len(head), None
         for batch in batches:
-            for key, value in zip(batch["doc_id"], batch["text"]):
+            for key, own_ids in zip(batch["doc_id"], encoder.batch_ids(batch["text"])):
                 if data is None:
                     data = files.open_output_stream(posixpath.join(folder_path, f"{name}.tok"))
                     data.write(head)
-                ids = encoder.ids(value.as_py()) + end
+                ids = own_ids + end
                 packed = frame(ids)
                 data.write(packed)
                 own = key.as_py()
