@@ -275,7 +275,8 @@ def test_batches_of_awkward_texts_equal_the_library(path, kind, monkeypatch):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.lists(st.sampled_from([*" \n\t\r\x0b a1'sé.,½\u00a0\u0300", "<|endoftext|>"]), max_size=30).map("".join)))
 def test_batches_of_odd_white_space_equal_the_library(texts):
-    assert batch_ids(pretokens.text_encoder(BYTE), texts) == library_ids(BYTE, texts)
+    encoder = pretokens.text_encoder(BYTE)
+    assert batch_ids(encoder, texts) == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_a_word_is_cut_once_for_a_batch(monkeypatch):
