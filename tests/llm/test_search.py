@@ -5,6 +5,7 @@ import math
 import duckdb
 import pytest
 from check import TABLES, compare
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from wattloom.llm import topk
@@ -103,6 +104,49 @@ def test_top_k_equals_brute_force(spark, monkeypatch, scale):
     assert sorted(map(tuple, got.collect())) == search_by_hand(rows, queries, 6)
 
 
+def test_top_k_sends_rows_once_per_block(spark, monkeypatch):
+    monkeypatch.setattr(topk, "TILE_VECTORS", 2)
+    monkeypatch.setattr(topk, "SHARD_VECTORS", 3)
+    rows = [(i, [(i * 7 + d * 3) % 11 - 5 for d in range(4)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>").repartition(4)
+    sent, kind = [], type(df)
+    plain = kind.mapInArrow
+
+    def counted(df, run, schema, *rest, **named):
+        if schema == topk._LISTS:
+            sent.append(df.count())
+        return plain(df, run, schema, *rest, **named)
+
+    monkeypatch.setattr(kind, "mapInArrow", counted)
+    queries = [(i, v) for i, v in rows if i % 20 == 0]
+    got = top_k(df.where("vec_id % 20 = 0"), df, k=4)
+    assert sorted(map(tuple, got.collect())) == search_by_hand(rows, queries, 4)
+    # 15 tiles or more and 200 shards or more: each once, not each pair.
+    assert 215 <= sent[0] < 300
+
+
+@pytest.mark.parametrize("scale", [1, 10**6, 2 * 10**8])
+def test_top_k_of_many_blocks(spark, monkeypatch, scale):
+    for name, value in {"TILE_VECTORS": 3, "SHARD_VECTORS": 50, "FAN_IN": 2}.items():
+        monkeypatch.setattr(topk, name, value)
+    monkeypatch.setattr(topk, "GROUP_QUERIES", 8, raising=False)
+    monkeypatch.setattr(topk, "BLOCK_SCORES", 800, raising=False)
+    # Most vectors are equal, so ties fill whole shards; ids repeat, and lengths differ.
+    rows = [(i * 13 % 601, [scale, -scale, scale]) for i in range(400)]
+    rows += [(i * 7 % 300, [scale * ((i * 5 + d * 3) % 9 - 4) for d in range(i % 4 + 1)]) for i in range(150)]
+    queries = [(i, v) for i, v in rows if i % 25 == 0]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>").repartition(5)
+    wanted = spark.createDataFrame(queries, "vec_id long, vector array<long>").repartition(3)
+    got = top_k(wanted, df, k=7)
+    assert sorted(map(tuple, got.collect())) == search_by_hand(rows, queries, 7)
+
+
+def test_top_k_of_too_great_scores_fails(spark):
+    df = spark.createDataFrame([(0, [1 << 40, 5]), (1, [1 << 40, 1])], "vec_id long, vector array<long>")
+    with pytest.raises(PythonException, match="64-bit"):
+        top_k(df, df).collect()
+
+
 def test_top_k_with_few_or_no_vectors(spark):
     df = spark.createDataFrame([(0, [1, 2]), (1, [3, 4])], "vec_id long, vector array<long>")
     assert [tuple(r) for r in top_k(df.where("vec_id = 0"), df).collect()] == [(0, 1, 1, 11)]
