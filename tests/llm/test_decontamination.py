@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from tests.llm.fixtures import awkward_texts, documents, words
 from tests.llm.test_tokens import rows_of
 
+from wattloom.llm import decontamination
 from wattloom.llm.decontamination import contaminated, least_run, most_shift, simhash
 from wattloom.llm.queries import QUERIES
+from wattloom.workspace import materialize
 
 
 def shingles(w, size=5):
@@ -208,3 +210,30 @@ def test_repeated_shingles_of_windows_and_items(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = sorted(map(tuple, contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()))
     assert got == sorted(by_hand(rows, items) + whole_by_hand(rows, items))
+
+
+def taken_apart(plan):
+    """What each row of an exploded array keeps besides its entry, by node of the plan."""
+    own = [plan.requiredChildOutput().mkString(" ")] if plan.getClass().getSimpleName() == "Generate" else []
+    children = plan.children()
+    return own + [x for i in range(children.size()) for x in taken_apart(children.apply(i))]
+
+
+def test_no_row_of_a_shingle_or_window_holds_the_text(spark, monkeypatch):
+    plans = []
+
+    def stored(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan())
+        return materialize(df, label)
+
+    monkeypatch.setattr(decontamination, "materialize", stored)
+    item = " ".join(f"w{i}" for i in range(40))
+    text = " ".join([*(f"x{i}" for i in range(30_000)), item, *(f"y{i}" for i in range(30_000))])
+    docs = spark.createDataFrame([(1, text), (2, None), (3, " "), (4, "few words")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, item), (8, "few words")], "item_id long, text string")
+    got = sorted(map(tuple, decontamination.contaminated(docs, items).collect()))
+    assert got == [(1, 7, 30_000, 40, 1.0), (4, 8, 0, 2, 1.0)]
+    kept = [x for plan in plans for x in taken_apart(plan)]
+    assert kept and not [x for x in kept if "words" in x or "text" in x]
+    # Nor is a text split again to test what its words give.
+    assert not [str(plan) for plan in plans if " Filter " in str(plan) and "size(transform" in str(plan)]

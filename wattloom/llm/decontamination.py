@@ -26,6 +26,8 @@ Only DataFrame functions are used.  A shingle is known by its 64-bit hash.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +60,32 @@ def _all_shingles(words: Column, size: int) -> Column:
     return F.when(count > 0, many).otherwise(F.array(few))
 
 
+def _every_shingle(words: Column, width: int, step: int) -> Column:
+    """Hashes of the shingles of ``width`` words at every so many-th word; none if there are fewer words."""
+    places = F.sequence(F.lit(0), F.size(words) - width, F.lit(step))
+    none = F.array().cast("array<bigint>")
+    return F.when(F.size(words) >= width, F.transform(places, lambda p: _hash(words, p, width))).otherwise(none)
+
+
+def _place(i: Column, n: Column, steps: dict[int, int]) -> Column:
+    """First word of shingle ``i`` of those of all widths, one width after the other, of ``n`` words."""
+    before, place = F.lit(0), F.lit(None).cast("int")
+    for width, step in sorted(steps.items()):
+        own = F.when(n >= width, F.floor((n - width) / step).cast("int") + 1).otherwise(0)
+        place = F.when((i >= before) & (i < before + own), (i - before) * step).otherwise(place)
+        before = before + own
+    return place
+
+
+def _window(m: Column, start: Column, n: Column, size: int, widths: Iterable[int]) -> Column:
+    """Shingles of the window from word ``start`` on, out of the columns ``of_`` of all shingles of a width."""
+    window = F.array().cast("array<bigint>")
+    for width in widths:
+        own = F.slice(F.col(f"of_{width}"), start + 1, F.least(n, m) - width + 1)
+        window = F.when(F.least(m, F.lit(size)) == width, own).otherwise(window)
+    return window
+
+
 def simhash(shingles: Column) -> Column:
     """64-bit fingerprint: each bit is the weighted majority of the shingles' bits."""
     none = F.lit(0).cast("long")
@@ -160,9 +188,10 @@ def contaminated(
     nothing; repeated rows of a document, or rows that share an id, count as one; other
     columns are ignored, whatever their names; empty tables give an empty result.
     """
+    # Texts without words give no shingles; a test of their words would split each text twice.
     docs = documents.select(
         F.col(doc_id).alias("doc_id"), words_of(F.col(text).cast("string")).alias("words")
-    ).where("doc_id IS NOT NULL AND size(words) > 0")
+    ).where("doc_id IS NOT NULL")
     items = materialize(
         benchmark.select(
             F.col(item_id).alias("item_id"), words_of(F.col(item_text).cast("string")).alias("words")
@@ -194,20 +223,15 @@ def contaminated(
         items.select("m", F.explode("hashes").alias("h")).distinct(), "index"
     )
 
-    def every(width: int, step: int) -> Column:
-        places = F.sequence(F.lit(0), F.size("words") - width, F.lit(step))
-        found = F.transform(
-            places, lambda p: F.struct(p.alias("p"), _hash(F.col("words"), p, width).alias("h"))
-        )
-        none = F.array().cast("array<struct<p:int,h:bigint>>")
-        return F.when(F.size("words") >= width, found).otherwise(none)
-
     def looked_up(docs: DataFrame, steps: dict[int, int]) -> DataFrame:
-        found = F.concat(*[every(width, step) for width, step in sorted(steps.items())])
+        found = [_every_shingle(F.col("words"), width, step) for width, step in sorted(steps.items())]
+        # The arrays are columns before they are taken apart, or each shingle's row would hold the whole text.
+        # Outer, as Spark else tests the arrays before and works them out for that from the text.
         return (
-            docs.select("doc_id", F.size("words").alias("n"), F.explode(found).alias("at"))
-            .select("doc_id", "n", "at.p", "at.h")
+            docs.select("doc_id", F.size("words").alias("n"), F.concat(*found).alias("found"))
+            .select("doc_id", "n", F.posexplode_outer("found").alias("i", "h"))
             .join(if_small(index), "h")
+            .select("doc_id", "n", "m", _place(F.col("i"), F.col("n"), steps).alias("p"))
         )
 
     met = materialize(looked_up(docs, steps).select("doc_id").distinct(), "met")
@@ -239,13 +263,15 @@ def contaminated(
         .join(if_small(places), "doc_id")
         .select("doc_id", "n", "places", words_of(F.col("text")).alias("words"))
         .where(F.size("words") == F.col("n"))
-        .select("doc_id", "n", "words", F.explode("places").alias("w"))
+        # Shingles, not words, meet the places, and each window takes its own of them: no row holds a text.
+        .select("doc_id", "n", "places", *[_every_shingle(F.col("words"), w, 1).alias(f"of_{w}") for w in steps])
+        .select("doc_id", "n", *[f"of_{w}" for w in steps], F.explode("places").alias("w"))
         .select(
             "doc_id",
             "w.m",
             "w.start",
             F.least(F.col("n"), F.col("w.m")).alias("n_words"),
-            _all_shingles_of_window(F.col("words"), F.col("w.start"), F.col("w.m"), size).alias("window"),
+            _window(F.col("w.m"), F.col("w.start"), F.col("n"), size, steps).alias("window"),
         )
         .withColumn("window_print", simhash(F.col("window")))
     )
@@ -305,10 +331,6 @@ def contaminated(
     )
 
 
-def _all_shingles_of_window(words: Column, start: Column, m: Column, size: int) -> Column:
-    return let(F.slice(words, start + 1, m), lambda own: _all_shingles(own, size))
-
-
 def _no_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     kinds = [f"{c} {df.schema[c].dataType.simpleString()}" for df, c in ((docs, "doc_id"), (items, "item_id"))]
