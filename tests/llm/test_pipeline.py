@@ -123,3 +123,16 @@ def test_very_long_texts_pass_all_stages(spark, sf_dir):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
     pieces = corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir).collect()
     check_pieces(texts(kept), pieces, WORD, 2048, 1)
+
+
+def test_readers_hold_few_long_texts_at_a_time(spark, sf_dir):
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    try:
+        for own, then in (("4096", "512"), ("300", "300")):
+            spark.conf.set(key, own)
+            docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(1)
+            corpus_pipeline.secrets(spark, docs, sf_dir)
+            assert spark.conf.get(key) == then
+    finally:
+        spark.conf.set(key, before)

@@ -13,16 +13,21 @@ _SHIPPED: set[str] = set()
 # Texts can be long, so rows go to Python workers in batches of bounded size rather than number.
 _BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 _BATCH_DEFAULT, _BATCH = "67108864b", "8m"
+# Parquet readers hold that many rows of a column at a time, whatever their length, and copy them as they grow.
+_READ_KEY = "spark.sql.parquet.columnarReaderBatchSize"
+_READ_DEFAULT, _READ = "4096", "512"
 
 
 def prepare(spark: SparkSession) -> None:
     """Make a session ready for these operators: their code, and batches that fit long texts.
 
-    The batch size is set only where the session has Spark's default.
+    The batch sizes are set only where the session has Spark's default.
     """
     ship(spark)
     if spark.conf.get(_BATCH_KEY, _BATCH) == _BATCH_DEFAULT:
         spark.conf.set(_BATCH_KEY, _BATCH)
+    if spark.conf.get(_READ_KEY, _READ) == _READ_DEFAULT:
+        spark.conf.set(_READ_KEY, _READ)
 
 
 def ship(spark: SparkSession) -> None:
